@@ -120,7 +120,8 @@ TABLES = {
           {audited("order_items")}
         FROM (SELECT l_orderkey * 10 + l_linenumber AS order_item_id, l_orderkey AS order_id,
             l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
-            CAST(l_extendedprice / l_quantity AS DECIMAL(12, 2)) AS unit_price,
+            CAST({half_up("round(l_extendedprice * 100)", "l_quantity", 0)} / 100.0
+              AS DECIMAL(12, 2)) AS unit_price,
             l_shipdate AS created_at, l_shipdate AS updated_at
           FROM lineitem)""",
     "events_sent": f"""

@@ -123,8 +123,9 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     shipped_at = F.col("l_shipdate").cast("timestamp")
-    unit_price = (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(12,2)")
     quantity = F.col("l_quantity").cast("int")
+    # Divided as decimals: halves of a cent round the same way everywhere.
+    unit_price = (F.col("l_extendedprice").cast("decimal(12,2)") / quantity).cast("decimal(12,2)")
     return _taken_in(
         table(spark, sf_dir, "lineitem").select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
