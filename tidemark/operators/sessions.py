@@ -7,18 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import HOT_ROWS, join_group_metrics
+
 
 def with_session_metrics(
     df: DataFrame,
     keys: Sequence[str] = ("session_id",),
     ts_col: str = "event_timestamp",
     type_col: str = "event_type",
+    spread_on: Sequence[str] = ("event_id",),
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add event count, first and last time, length and conversion of each event's session.
 
     An aggregate joined back rather than a window: the aggregate is combined on the
-    map side and AQE splits the join for a hot session, while a window would pull
-    that session through a single task. ``keys`` must not be NULL.
+    map side and the join spreads the events of a huge session, while a window would
+    pull that session through a single task. ``keys`` must not be NULL.
     """
     first, last = F.min(ts_col), F.max(ts_col)
     metrics = df.groupBy(*keys).agg(
@@ -28,4 +32,4 @@ def with_session_metrics(
         (F.unix_timestamp(last) - F.unix_timestamp(first)).alias("session_duration_seconds"),
         F.coalesce(F.bool_or(F.col(type_col) == "purchase"), F.lit(False)).alias("is_conversion"),
     )
-    return df.join(metrics, list(keys), "left")
+    return join_group_metrics(df, metrics, keys, "session_event_count", spread_on, hot_rows)

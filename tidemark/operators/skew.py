@@ -1,0 +1,58 @@
+"""Bringing group metrics back to the rows of groups of any size."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# At most this many groups are broadcast. Any further group holds less than one
+# row in `HOT_GROUPS` of the input, little enough for a shuffle partition.
+HOT_GROUPS = 1000
+# Groups below this size are never treated apart.
+HOT_ROWS = 100_000
+# Into how many parts the rows of hot groups are spread.
+SALTS = 1000
+
+
+def join_group_metrics(
+    df: DataFrame,
+    metrics: DataFrame,
+    keys: Sequence[str],
+    count_col: str,
+    spread_on: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Left join of rows with the one metrics row of their group, safe for hot groups.
+
+    ``count_col`` of ``metrics`` holds the rows of the group in ``df``. The largest
+    groups get their metrics by broadcast, which is bounded by `HOT_GROUPS` rows;
+    their rows then go through the shuffle of the others spread by a hash of
+    ``spread_on`` instead of meeting in one task. AQE cannot do this by itself: it
+    does not split a join whose other side is an aggregate.
+    """
+    names = [c for c in metrics.columns if c not in keys]
+    # The join below asks for this too; said for both uses, the aggregate runs once.
+    for key in keys:
+        metrics = metrics.filter(F.col(key).isNotNull())
+    hot = (
+        metrics.filter(F.col(count_col) >= hot_rows)
+        .orderBy(F.desc(count_col))
+        .limit(HOT_GROUPS)
+        .select(*keys, F.struct(*names).alias("_hot"))
+    )
+    # Groups are never empty, so this is 0 for all; as a value of the row it stays
+    # a join key where a literal would be optimised away.
+    unsalted = (F.col(count_col) < 1).cast("int").alias("_salt")
+    cold = metrics.select(*keys, unsalted, F.struct(*names).alias("_cold"))
+    salt = F.when(
+        F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*spread_on), F.lit(SALTS)).cast("int") + 1
+    ).otherwise(0)
+    joined = (
+        df.join(F.broadcast(hot), list(keys), "left")
+        .withColumn("_salt", salt)
+        .join(cold, [*keys, "_salt"], "left")
+    )
+    found = F.coalesce("_hot", "_cold")
+    return joined.select(*df.columns, *[found[name].alias(name) for name in names])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.tables import with_audit, with_partition_date
-from tidemark.spec import EVENT_SCHEMA, ORDER_ITEMS
+from tidemark.spec import EVENT_SCHEMA, ORDER_ITEMS, schema_of
 
 # Copies of one order line share their timestamps; the rest of the row decides.
 TESTDATA_ORDER_ITEMS = ORDER_ITEMS.with_tiebreak(
@@ -19,8 +19,35 @@ TESTDATA_ORDER_ITEMS = ORDER_ITEMS.with_tiebreak(
 )
 
 
+# Given, so that planning a query does not start with a job that looks into the files.
+TABLES = {
+    "region": schema_of("r_regionkey int, r_name string"),
+    "nation": schema_of("n_nationkey int, n_name string, n_regionkey int"),
+    "customer": schema_of(
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "part": schema_of(
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+        " p_retailprice double"
+    ),
+    "orders": schema_of(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": schema_of(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+        " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": schema_of(
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,"
+        " props string"
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _versions(is_repeated: Column) -> Column:

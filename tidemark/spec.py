@@ -18,7 +18,9 @@ _TYPES = {
     "boolean": T.BooleanType(),
     "int": T.IntegerType(),
     "bigint": T.LongType(),
+    "double": T.DoubleType(),
     "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
     "decimal(12,2)": T.DecimalType(12, 2),
     "decimal(14,2)": T.DecimalType(14, 2),
 }
