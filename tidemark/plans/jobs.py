@@ -31,7 +31,14 @@ from tidemark.sinks import (
     replace_slices,
     replace_table,
 )
-from tidemark.sources import GOLD_VIEWS, parse_events, read_table, with_audit, with_partition_date
+from tidemark.sources import (
+    GOLD_VIEWS,
+    parse_events,
+    read_bronze,
+    read_table,
+    with_audit,
+    with_partition_date,
+)
 from tidemark.spec import (
     BRONZE_EVENT_SCHEMA,
     CUSTOMERS,
@@ -165,9 +172,9 @@ def run_cdc_cycle(
 
 def build_silver_table(
     spark: SparkSession, lake: Lake, spec: TableSpec, days: Sequence[str]
-) -> dict[str, int]:
+) -> int:
     """Recompute Silver slices of one orders table from Bronze."""
-    bronze = read_table(spark, lake.bronze(spec.name), spec.schema)
+    bronze = read_bronze(spark, lake.bronze(spec.name), spec.schema)
     slices = to_silver(bronze.filter(F.col(SLICE).isin(list(days))), spec)
     return replace_slices(slices, lake.silver(spec.name), SLICE, days)
 
@@ -177,13 +184,11 @@ def build_silver_orders(
     lake: Lake,
     days: Sequence[str],
     specs: Mapping[str, TableSpec] = ORDER_TABLES,
-) -> dict[str, dict[str, int]]:
+) -> dict[str, int]:
     return {name: build_silver_table(spark, lake, spec, days) for name, spec in specs.items()}
 
 
-def build_silver_events(
-    spark: SparkSession, lake: Lake, days: Sequence[str]
-) -> dict[str, int]:
+def build_silver_events(spark: SparkSession, lake: Lake, days: Sequence[str]) -> int:
     return refresh_silver_events(spark, lake.bronze_events, lake.silver_events, days)
 
 

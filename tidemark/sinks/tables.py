@@ -38,18 +38,16 @@ def append_counted(df: DataFrame, path: str, partition_by: str | None = SLICE) -
     return int(append_observed(df, path, partition_by)["rows"])
 
 
-def replace_slices(
-    df: DataFrame, path: str, column: str, values: Sequence[str]
-) -> dict[str, int]:
+def replace_slices(df: DataFrame, path: str, column: str, values: Sequence[str]) -> int:
     """Make ``df`` the whole content of the slices ``values`` of the table at ``path``.
 
-    Returns the rows per slice. Running it again gives the same table. A slice that
+    Returns the rows written. Running it again gives the same table. A slice that
     ``df`` has no rows for ends up empty. A row outside ``values`` fails the job
     before anything is swapped in.
     """
     values = [str(v) for v in dict.fromkeys(values)]
     if not values:
-        return {}
+        return 0
     slice_text = F.col(column).cast("string")
     inside = F.when(slice_text.isin(values), slice_text).otherwise(
         F.raise_error(
@@ -57,30 +55,27 @@ def replace_slices(
         )
     )
     seen = Observation()
-    counts = [
-        F.count_if(F.col(column) == value).alias(f"slice_{i}") for i, value in enumerate(values)
-    ]
     out = df.withColumn(column, inside)
     if len(values) > 1:
         out = out.hint("rebalance", F.col(column))
     (
-        out.observe(seen, *counts)
+        out.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.collect_set(column).alias("written")
+        )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
         .parquet(path)
     )
-    written = {value: int(seen.get[f"slice_{i}"]) for i, value in enumerate(values)}
     # Dynamic overwrite does not touch slices it has no rows for.
     nothing = df.sparkSession.createDataFrame([], df.drop(column).schema)
-    for value, rows in written.items():
-        if rows == 0:
-            nothing.write.mode("overwrite").parquet(f"{path}/{column}={value}")
-    return written
+    for value in sorted(set(values) - set(seen.get["written"])):
+        nothing.write.mode("overwrite").parquet(f"{path}/{column}={value}")
+    return int(seen.get["rows"])
 
 
 def replace_slice(df: DataFrame, path: str, column: str, value: str) -> int:
-    return replace_slices(df, path, column, [value])[str(value)]
+    return replace_slices(df, path, column, [value])
 
 
 def replace_table(df: DataFrame, path: str) -> int:

@@ -1,6 +1,7 @@
 from tidemark.sources.events import parse_events, read_events
 from tidemark.sources.tables import (
     GOLD_VIEWS,
+    read_bronze,
     read_change_source,
     read_slice,
     read_table,
@@ -12,6 +13,7 @@ from tidemark.sources.tables import (
 __all__ = [
     "GOLD_VIEWS",
     "parse_events",
+    "read_bronze",
     "read_change_source",
     "read_events",
     "read_slice",

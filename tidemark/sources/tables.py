@@ -14,7 +14,8 @@ from tidemark.spec import SLICE
 
 
 def _is_missing(error: AnalysisException) -> bool:
-    return (error.getCondition() or "").startswith("PATH_NOT_FOUND")
+    """No folder, or a folder without files: nothing has been written yet."""
+    return (error.getCondition() or "").startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
 
 
 def read_table(
@@ -32,6 +33,20 @@ def read_table(
         raise
 
 
+def read_bronze(
+    spark: SparkSession, path: str, silver_schema: T.StructType, format: str = "parquet"
+) -> DataFrame:
+    """A Bronze table in the types its source had; empty, in Silver types, if not there yet."""
+    try:
+        bronze = spark.read.format(format).load(path)
+    except AnalysisException as error:
+        if _is_missing(error):
+            return spark.createDataFrame([], silver_schema)
+        raise
+    # Folder names that look like dates would be read as such.
+    return bronze.withColumn(SLICE, F.col(SLICE).cast("string"))
+
+
 def read_slice(
     spark: SparkSession,
     path: str,

@@ -39,7 +39,7 @@ def timely_stream(bronze: DataFrame) -> DataFrame:
 
 def refresh_silver_events(
     spark: SparkSession, bronze_path: str, silver_path: str, days: Sequence[str]
-) -> dict[str, int]:
+) -> int:
     """Recompute whole Silver slices from Bronze; one job for all of them."""
     bronze = read_table(spark, bronze_path, BRONZE_EVENT_SCHEMA)
     wanted = bronze.filter(F.col(SLICE).isin(list(days)))
