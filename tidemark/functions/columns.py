@@ -40,7 +40,7 @@ def mean_of_total(total: Column, count: Column, digits: int = 2) -> Column:
 
 def utc_date(ts: Column) -> Column:
     """Slice name (``yyyy-MM-dd`` text) of a timestamp; the session zone must be UTC."""
-    return F.date_format(ts, "yyyy-MM-dd")
+    return F.to_date(ts).cast("string")
 
 
 def next_status(status: Column) -> Column:

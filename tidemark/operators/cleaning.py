@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.spec import TableSpec
 
+# Fixed value: how long after its event time an event may arrive.
 LATE_TOLERANCE = "10 minutes"
 
 

@@ -397,16 +397,11 @@ def constraint_checks() -> list[str]:
         "order_items": ("order_item_id",),
     }
     not_null = {
-        "customers": ("customer_id", "first_name", "last_name", "country_code", "city"),
-        "products": ("product_id", "product_name", "category_name", "unit_price"),
-        "orders": (
-            "order_id",
-            "customer_id",
-            "order_status",
-            "order_timestamp",
-            "total_amount",
-        ),
-        "order_items": ("order_item_id", "order_id", "product_id", "quantity"),
+        "customers": "customer_id customer_external_id first_name last_name email country_code city",
+        "products": "product_id product_sku product_name category_name unit_price is_active",
+        "orders": "order_id order_external_id customer_id order_status order_timestamp"
+        " total_amount currency_code",
+        "order_items": "order_item_id order_id product_id quantity unit_price",
     }
     at_least = {
         "customers": {},
@@ -425,7 +420,7 @@ def constraint_checks() -> list[str]:
         number = 0
         for column in unique[table]:
             checks.append(duplicate_check(number := number + 1, table, source, (column,)))
-        for column in not_null[table]:
+        for column in (*not_null[table].split(), "created_at", "updated_at"):
             checks.append(null_check(number := number + 1, table, source, column))
         for column, low in at_least[table].items():
             checks.append(range_check(number := number + 1, table, source, column, low))

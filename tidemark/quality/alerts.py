@@ -15,6 +15,10 @@ from tidemark.spec import schema_of
 # Severity domain of an alert.
 SEVERITIES = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
 
+# Origin and kind written into alert rows.
+QUALITY_ORIGIN = {"alert_source": "quality_runner", "pipeline_name": "data_quality"}
+FAILURE_ORIGIN = {"alert_source": "airflow_pipeline", "alert_type": "pipeline_failure"}
+
 ALERT_SCHEMA = schema_of(
     "alert_source string, alert_type string, severity string, table_name string,"
     " pipeline_name string, alert_message string, alert_payload string,"
@@ -37,11 +41,10 @@ def alert_rows(results: DataFrame, as_of: datetime | str | None = None) -> DataF
     return _alerts(
         results.filter(~F.col("passed")),
         {
-            "alert_source": F.lit("quality_runner"),
+            **{name: F.lit(value) for name, value in QUALITY_ORIGIN.items()},
             "alert_type": F.col("check_name"),
             "severity": F.lit("HIGH"),
             "table_name": F.col("table_name"),
-            "pipeline_name": F.lit("data_quality"),
             "alert_message": F.col("message"),
             "alert_payload": F.to_json(F.struct(*[c for c in results.columns if c != "check_no"])),
         },
@@ -63,8 +66,7 @@ def failure_alert(
     return _alerts(
         spark.range(1),
         {
-            "alert_source": F.lit("airflow_pipeline"),
-            "alert_type": F.lit("pipeline_failure"),
+            **{name: F.lit(value) for name, value in FAILURE_ORIGIN.items()},
             "severity": F.lit(severity),
             "table_name": F.lit(None),
             "pipeline_name": F.lit(run_name),

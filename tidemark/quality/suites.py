@@ -37,6 +37,9 @@ ALERTS_SUITE: tuple[Check, ...] = (
 )
 
 
+_STAMPS = ("created_at", "updated_at")
+
+
 def _declared(key: str, unique: str | None, not_null: tuple[str, ...]) -> tuple[Check, ...]:
     unique_keys = (key, unique) if unique else (key,)
     return (
@@ -51,21 +54,56 @@ def constraint_suites(
     """Keys, NOT NULL columns, value checks and foreign keys per source table."""
     return {
         "customers": _declared(
-            "customer_id", "email", ("first_name", "last_name", "country_code", "city")
+            "customer_id",
+            "email",
+            (
+                "customer_external_id",
+                "first_name",
+                "last_name",
+                "email",
+                "country_code",
+                "city",
+                *_STAMPS,
+            ),
         ),
         "products": (
-            *_declared("product_id", "product_sku", ("product_name", "category_name")),
-            NullRate("unit_price"),
+            *_declared(
+                "product_id",
+                "product_sku",
+                (
+                    "product_sku",
+                    "product_name",
+                    "category_name",
+                    "unit_price",
+                    "is_active",
+                    *_STAMPS,
+                ),
+            ),
             ValueRange("unit_price", min_value=0),
         ),
         "orders": (
-            *_declared("order_id", None, ("customer_id", "order_status", "order_timestamp")),
-            NullRate("total_amount"),
+            *_declared(
+                "order_id",
+                None,
+                (
+                    "order_external_id",
+                    "customer_id",
+                    "order_status",
+                    "order_timestamp",
+                    "total_amount",
+                    "currency_code",
+                    *_STAMPS,
+                ),
+            ),
             ValueRange("total_amount", min_value=0),
             ForeignKey("customer_id", customers, "customer_id"),
         ),
         "order_items": (
-            *_declared("order_item_id", None, ("order_id", "product_id", "quantity")),
+            *_declared(
+                "order_item_id",
+                None,
+                ("order_id", "product_id", "quantity", "unit_price", *_STAMPS),
+            ),
             ValueRange("quantity", min_value=1),
             ValueRange("unit_price", min_value=0),
             ForeignKey("order_id", orders, "order_id"),

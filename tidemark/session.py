@@ -16,17 +16,34 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # A hot session or customer is split by AQE when its rows meet a join; the
-    # "force" flag keeps that true when a later aggregation would like to reuse
-    # the join's partitioning.
+    # A hot key is split where two shuffled tables meet; the "force" flag keeps that
+    # true when a later aggregation would like to reuse the join's partitioning.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Keys of a deduplicated stream are kept on disk, not on the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
+# What a shuffle partition should hold at most; AQE merges those that hold less.
+PARTITION_BYTES = 128 * 1024 * 1024
 
-def tune(spark: SparkSession) -> SparkSession:
+
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the settings above to a running session.
+
+    ``shuffle_bytes``, the size of the largest input to be shuffled, raises the
+    number of shuffle partitions to what such an input needs. AQE can merge
+    partitions but, joins aside, not split them, so the default of 200 would spill
+    heavily on terabytes.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffle_bytes:
+        now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        needed = -(-shuffle_bytes // PARTITION_BYTES)
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(now, needed)))
     return spark
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import utc_date
 from tidemark.sources.tables import with_audit, with_partition_date
 from tidemark.spec import EVENT_SCHEMA, ORDER_ITEMS, schema_of
 
@@ -186,9 +187,9 @@ def events(events_table: DataFrame) -> DataFrame:
     source = F.expr("CASE user_id % 2 WHEN 0 THEN 'Organic ' ELSE 'paid' END")
     return events_table.select("*", _versions(F.col("event_id") % 33 == 0)).select(
         F.col("event_id").cast("string").alias("event_id"),
-        F.concat_ws("-", F.col("user_id").cast("string"), F.date_format(ts, "yyyyMMdd")).alias(
-            "session_id"
-        ),
+        F.concat(
+            F.col("user_id"), F.lit("-"), F.replace(utc_date(ts), F.lit("-"), F.lit(""))
+        ).alias("session_id"),
         F.col("user_id").cast("string").alias("user_id"),
         event_type.alias("event_type"),
         ts.alias("event_timestamp"),
