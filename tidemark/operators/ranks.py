@@ -98,22 +98,13 @@ def _tile_ends(rows: int, k: int) -> list[int]:
     return [i * size + min(i, larger) for i in range(1, k) if i * size + min(i, larger) > 0]
 
 
-def _common_type(df: DataFrame, columns: Sequence[str]) -> str:
-    types = [df.schema[c].dataType for c in columns]
-    if any(isinstance(t, (T.DoubleType, T.FloatType)) for t in types):
-        return "double"
-    scale = max((t.scale for t in types if isinstance(t, T.DecimalType)), default=0)
-    return f"decimal(38,{scale})"
-
-
-def _sort_key(value: Column, descending: bool) -> tuple[Column, Column]:
-    """(null marker, value) that sorts ascending like the order asked for.
-
-    NULLs come first ascending and last descending, Spark's defaults.
-    """
-    if descending:
-        return value.isNull(), -value
-    return value.isNotNull(), value
+def _sort_kind(kind: T.DataType) -> str:
+    """The type a value is sorted as: wide decimals only where there are decimals."""
+    if isinstance(kind, T.IntegralType):
+        return "bigint"
+    if isinstance(kind, T.DecimalType):
+        return kind.simpleString()
+    return "double"
 
 
 def add_ntiles(
@@ -130,40 +121,49 @@ def add_ntiles(
     Stages ``df`` and runs jobs; see `rows_at_ranks`.
     """
     base = staged(df, "ntile-input")
-    kind = _common_type(base, [source for source, _ in tiles.values()])
-    sort_keys = {
-        name: _sort_key(F.col(source).cast(kind), descending)
-        for name, (source, descending) in tiles.items()
-    }
+    kinds = {name: _sort_kind(base.schema[source].dataType) for name, (source, _) in tiles.items()}
+    # One sort column per kind of value, so that all orders go through one shuffle.
+    value_cols = {kind: f"_value{i}" for i, kind in enumerate(sorted(set(kinds.values())))}
+    order = ["_mark", *value_cols.values(), "_tie"]
+
+    def sort_key(name: str) -> dict[str, Column]:
+        """Sorts ascending like the order asked for: NULLs first, or last if descending."""
+        source, descending = tiles[name]
+        value = F.col(source).cast(kinds[name])
+        key = {"_mark": value.isNull() if descending else value.isNotNull()}
+        for kind, column in value_cols.items():
+            key[column] = F.lit(None).cast(kind)
+        key[value_cols[kinds[name]]] = -value if descending else value
+        return key | {"_tie": F.col(tie_break)}
+
     keys = base.select(
-        F.col(tie_break).alias("_tie"),
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(name).alias("_tile"), mark.alias("_mark"), value.alias("_value"))
-                    for name, (mark, value) in sort_keys.items()
+                    F.struct(
+                        F.lit(number).alias("_tile"),
+                        *[column.alias(name) for name, column in sort_key(tile).items()],
+                    )
+                    for number, tile in enumerate(tiles)
                 ]
             )
-        ),
+        )
     )
     ends = rows_at_ranks(
         keys,
-        ["_mark", "_value", "_tie"],
-        {name: lambda n: _tile_ends(n, k) for name in tiles},
+        order,
+        {number: lambda n: _tile_ends(n, k) for number in range(len(tiles))},
         group="_tile",
     )
 
-    tie_type = base.schema[tie_break].dataType
     columns = {}
-    for name, (mark, value) in sort_keys.items():
-        this = F.struct(mark.alias("m"), value.alias("v"), F.col(tie_break).alias("t"))
-        tile = F.lit(1)
-        for row in ends.get(name, {}).values():
-            end = F.struct(
-                F.lit(row["_mark"]).alias("m"),
-                F.lit(row["_value"]).cast(kind).alias("v"),
-                F.lit(row["_tie"]).cast(tie_type).alias("t"),
-            )
-            tile = tile + (this > end).cast("int")
-        columns[name] = tile
+    for number, name in enumerate(tiles):
+        used = ["_mark", value_cols[kinds[name]], "_tie"]
+        key = sort_key(name)
+        this = F.struct(*[key[c].alias(c) for c in used])
+        passed = [
+            this > F.struct(*[F.lit(end[c]).cast(keys.schema[c].dataType).alias(c) for c in used])
+            for end in ends[number].values()
+        ]
+        columns[name] = functools.reduce(operator.add, [p.cast("int") for p in passed], F.lit(1))
     return base.withColumns(columns)

@@ -23,7 +23,7 @@ from tidemark.operators import (
     standardise,
     with_session_metrics,
 )
-from tidemark.plans import gold, reports
+from tidemark.plans import gold, jobs, reports
 from tidemark.plans.silver import deduped_events, timely_events, to_silver, to_silver_events
 from tidemark.quality import (
     DuplicateRate,
@@ -51,6 +51,7 @@ from tidemark.spec import (
     PRODUCTS,
     SILVER_EVENT_SCHEMA,
     SLICE,
+    order_table,
 )
 from tidemark.streaming import (
     dedup_stream,
@@ -459,3 +460,36 @@ def stream_silver_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = parse_events(_message_stream(spark, sf_dir))
     drain(stream_silver_events(events, bronze, silver, checkpoint, BOUNDED))
     return read_table(spark, silver, SILVER_EVENT_SCHEMA).drop("bronze_ingested_at")
+
+
+# --- jobs ---------------------------------------------------------------------------
+
+
+@query
+def job_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two polling cycles over customers and products, then Silver; the second finds nothing."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    audit = ("source_table", "ingested_at", SLICE)
+    sources = {
+        "customers": td.customers(spark, sf_dir).drop(*audit),
+        "products": td.products(spark, sf_dir).drop(*audit),
+    }
+    first = jobs.run_cdc_cycle(spark, lake, sources)
+    jobs.run_cdc_cycle(spark, lake, sources)
+    for batch in first["batches"]:
+        spec = order_table(batch["table_name"])
+        jobs.build_silver_table(spark, lake, spec, batch["slices"])
+    return read_table(spark, lake.silver("customers"), CUSTOMERS.schema).drop("ingested_at")
+
+
+@query
+def job_clickstream_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic to Bronze by a bounded stream, one day to Silver and on to Gold traffic."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    events = parse_events(_message_stream(spark, sf_dir))
+    ingest_available(events, lake.bronze_events, lake.events_checkpoint)
+    jobs.build_silver_events(spark, lake, [EVENT_DAY])
+    jobs.build_hourly_traffic(spark, lake, EVENT_DAY)
+    return read_table(spark, lake.gold("gold_hourly_traffic")).filter(
+        F.col("event_date") == F.lit(EVENT_DAY).cast("date")
+    )

@@ -576,6 +576,10 @@ _SQL = {
           partition_date
         FROM events_std WHERE event_timestamp >= ingestion_timestamp - INTERVAL 10 MINUTE""",
     "stream_silver_slices": "SELECT * EXCLUDE (bronze_ingested_at) FROM events_silver",
+    "job_change_feed": "SELECT * EXCLUDE (ingested_at) FROM ("
+    + one_by("customer_id, partition_date", LATEST, "customers_std")
+    + ")",
+    "job_clickstream_day": f"SELECT * FROM traffic WHERE event_date = DATE '{EVENT_DAY}'",
 }
 
 
@@ -613,6 +617,7 @@ _SHOWN = {
     "order_line_amount": ("line_amount", "unit_price"),
     "order_totals_rollup": ("total_amount",),
     "sink_replace_slice": ("event_date",),
+    "job_clickstream_day": ("event_date",),
 }
 
 
