@@ -7,13 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many groups are broadcast. Any further group holds less than one
-# row in `HOT_GROUPS` of the input, little enough for a shuffle partition.
-HOT_GROUPS = 1000
+# At most this many groups are broadcast, some ten megabytes. Any further group holds
+# less than one row in `HOT_GROUPS` of the input, no more than a shuffle partition should.
+HOT_GROUPS = 100_000
 # Groups below this size are never treated apart.
 HOT_ROWS = 100_000
-# Into how many parts the rows of hot groups are spread.
-SALTS = 1000
 
 
 def join_group_metrics(
@@ -44,11 +42,10 @@ def join_group_metrics(
     )
     # Groups are never empty, so this is 0 for all; as a value of the row it stays
     # a join key where a literal would be optimised away.
-    unsalted = (F.col(count_col) < 1).cast("int").alias("_salt")
+    unsalted = (F.col(count_col) < 1).cast("bigint").alias("_salt")
     cold = metrics.select(*keys, unsalted, F.struct(*names).alias("_cold"))
-    salt = F.when(
-        F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*spread_on), F.lit(SALTS)).cast("int") + 1
-    ).otherwise(0)
+    # A salt that happens to be 0 finds the same metrics once more.
+    salt = F.when(F.col("_hot").isNotNull(), F.xxhash64(*spread_on)).otherwise(0)
     joined = (
         df.join(F.broadcast(hot), list(keys), "left")
         .withColumn("_salt", salt)

@@ -124,7 +124,8 @@ def _funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = {"path": sf_dir, "pathGlobFilter": "events.parquet"}
+    # A pattern, as a stream takes a single file by no other name; it fits a folder too.
+    files = {"path": f"{sf_dir}/events.parque[t]"}
     return td.messages(read_events(spark, "parquet", files, td.TABLES["events"]))
 
 

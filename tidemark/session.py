@@ -20,6 +20,8 @@ SETTINGS = {
     # true when a later aggregation would like to reuse the join's partitioning.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A salt next to the key of a join must take part in the partitioning.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     # Keys of a deduplicated stream are kept on disk, not on the executors' heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
