@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import ready, table
+from tidemark.llm import language
+from tidemark.llm.common import fold, ready, table
 from tidemark.llm.sharding import shard_by_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,15 @@ def all_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    model = language.fit(docs.filter(~held_out))
+    told = language.identify(docs.select("doc_id", "text"), model)
+    return told.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 @query
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)

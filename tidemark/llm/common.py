@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import shutil
+import tempfile
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +22,18 @@ def ready(spark: SparkSession) -> SparkSession:
     """The session with the settings the operators rely on."""
     tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.sparkContext.addPyFile(_package(spark.sparkContext.applicationId))
     return spark
 
 
+@functools.cache
+def _package(_application_id: str) -> str:
+    """This package as an archive, which Spark hands to the Python workers."""
+    top = Path(__file__).resolve().parents[1]
+    name = f"{tempfile.mkdtemp()}/{top.name}"
+    return shutil.make_archive(name, "zip", top.parent, top.name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
