@@ -6,15 +6,32 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import language
+from tidemark.llm import html_text, language, token_counts
 from tidemark.llm.common import fold, ready, table
+from tidemark.llm.decontamination import contaminated
+from tidemark.llm.line_dedup import without_common_lines
+from tidemark.llm.mixing import mixed
 from tidemark.llm.sharding import shard_by_bytes
+from tidemark.session import scratch_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 16
 
+# The mixture: sources evened out, languages and topics as named, half of all tokens.
+MARGINS = {
+    "source": 0.7,
+    "lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1},
+    "topic": {"licence": 0.02, "contact": 0.025},
+}
+TOPICS = [("licence", r"[Ll]icense"), ("contact", r"[A-Za-z0-9._]+@[A-Za-z0-9]")]
+KEEP = 0.5
+
+# A word with an at sign in it.
+ADDRESS = r"[^\x20\x09-\x0D@]*@[^\x20\x09-\x0D]*"
+
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
@@ -36,6 +53,72 @@ def all_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_common_lines(docs)
+
+
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages))
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals after five deliveries: two tokenizer versions of all documents, the
+    deletion of copies, revised counts without words that hold an address, and batches 2
+    and 4 once more, before and after the first two were compacted."""
+    counters = {
+        "classes-1": token_counts.classes,
+        "words-1": token_counts.words,
+        "masked": lambda text: token_counts.words(text) - F.regexp_count(text, F.lit(ADDRESS)),
+    }
+    docs = table(spark, sf_dir, "documents")
+    rows = staged(
+        token_counts.counted(
+            docs.withColumn("print", F.xxhash64("text")), counters, keep=["doc_id", "print"]
+        ),
+        "token-rows",
+    )
+    first = staged(rows.groupBy("print").agg(F.min("doc_id").alias("first")), "token-first")
+    marked = rows.join(first, "print").withColumn("copy", F.col("doc_id") > F.col("first"))
+    marked = staged(marked.select("source", "lang", "version", "tokens", "copy"), "token-marked")
+    real = marked.filter("version <> 'masked'")
+    words = marked.filter("version = 'words-1' AND NOT copy")
+    masked = marked.filter("version = 'masked' AND NOT copy").withColumn("version", F.lit("words-1"))
+    batches = {
+        1: token_counts.inserts(real.filter("version = 'words-1'")),
+        2: token_counts.inserts(real.filter("version = 'classes-1'")),
+        3: token_counts.deletes(real.filter("copy")),
+        4: token_counts.revisions(words, masked),
+    }
+    totals = token_counts.TokenTotals(spark, scratch_path(spark, "token-totals"))
+    for batch in (1, 2, 2, 3, 4):
+        totals.commit(batch, batches[batch])
+    totals.compact(through=2)
+    for batch in (2, 4):
+        totals.commit(batch, batches[batch])
+    return totals.totals()
+
+
+_SQL["op5_token_counts"] = """
+WITH firsts AS (
+    SELECT source, lang, text FROM documents
+    QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1
+), counts AS (
+    SELECT source, lang, 'classes-1' AS version, len(regexp_extract_all(text,
+        '[A-Za-z]+|[0-9]+|[^\\x20\\x09-\\x0DA-Za-z0-9]')) AS tokens FROM firsts
+    UNION ALL
+    SELECT source, lang, 'words-1', len(list_filter(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'),
+        lambda w: NOT contains(w, '@'))) FROM firsts
+)
+SELECT source, lang, version, count(*) AS docs, CAST(sum(coalesce(tokens, 0)) AS BIGINT) AS tokens
+FROM counts GROUP BY ALL
+"""
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -48,3 +131,24 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return contaminated(documents, benchmark)
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = mixed(table(spark, sf_dir, "documents"), MARGINS, KEEP, TOPICS)
+    return told.select(
+        "doc_id",
+        "source",
+        "lang",
+        F.col("__topic").alias("topic"),
+        F.col("__tokens").alias("tokens"),
+        F.col("__weight").alias("weight"),
+        F.col("__probability").alias("probability"),
+        F.col("__kept").alias("kept"),
+    )
