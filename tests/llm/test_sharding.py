@@ -1,0 +1,73 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+from conftest import plan_of
+
+from tidemark.llm import sharding
+from tidemark.llm.sharding import shard_by_bytes
+
+
+def sharded(df, shards=4):
+    return [r.asDict() for r in shard_by_bytes(df, shards).collect()]
+
+
+def check(rows, docs, shards):
+    assert sorted((str(r["doc_id"]), r["size"]) for r in rows) == sorted(
+        (str(i), len((t or "").encode()) + 1) for i, t in docs
+    )
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+        assert r["law"] == "bytes" and r["grown_shard"] is None
+    assert all(0 <= s < shards for s in slots)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_sizes_are_near_equal_and_copies_stay_together(docs_of):
+    rng = random.Random(1)
+    docs = [(i, "x" * rng.randint(1, 400) + str(i)) for i in range(4000)]
+    docs += [(10_000 + i, "the same text " * 8) for i in range(500)]
+    rows = sharded(docs_of(docs), 8)
+    check(rows, docs, 8)
+    size = Counter()
+    for r in rows:
+        size[r["shard"]] += r["size"]
+    mean = sum(size.values()) / 8
+    assert max(abs(v - mean) for v in size.values()) < 0.03 * mean
+    assert len({r["shard"] for r in rows if r["doc_id"] >= 10_000}) == 1
+    texts = dict(docs)
+    assert all(r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode()) for r in rows)
+
+
+def test_a_group_above_a_shard_is_cut(docs_of):
+    docs = [(i, "same" * 50) for i in range(3000)] + [(5000 + i, f"other {i} " * 10) for i in range(2000)]
+    rows = sharded(docs_of(docs), 8)
+    check(rows, docs, 8)
+    size = Counter()
+    for r in rows:
+        size[r["shard"]] += r["size"]
+    assert max(size.values()) < 1.05 * sum(size.values()) / 8
+
+
+def test_nulls_repeats_long_texts_and_clashing_columns(llm, docs_of):
+    docs = [(None, None), (None, "a"), (1, ""), (1, ""), (2, None), (3, "é" * 300_000), (4, "b")]
+    df = docs_of(docs).selectExpr("*", "7 AS shard", "8 AS slot", "'x' AS cell", "1 AS key", "2 AS size")
+    check(sharded(df), docs, 4)
+    assert sharded(docs_of([])) == []
+    assert shard_by_bytes(docs_of([]), 4).columns == shard_by_bytes(df, 4).columns
+
+
+def test_equal_runs_and_native_plan(docs_of):
+    df = docs_of([(i, f"text {i % 37} {i}") for i in range(500)])
+    assert sorted(map(str, sharded(df))) == sorted(map(str, sharded(df.repartition(7))))
+    plan = plan_of(shard_by_bytes(df, 4))
+    assert "Python" not in plan and "Arrow" not in plan and "SinglePartition" not in plan
+
+
+def test_range_search(llm):
+    from pyspark.sql import functions as F
+
+    bounds = [-50, -3, 0, 9, 10]
+    df = llm.range(-60, 60, 1).select("id", sharding._range_of(F.col("id"), bounds).alias("r"))
+    assert all(r.r == sum(b <= r.id for b in bounds) for r in df.collect())

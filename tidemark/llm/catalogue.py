@@ -8,12 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, language, token_counts
+from tidemark.llm import html_text, language, token_counts, toxicity
 from tidemark.llm.common import fold, ready, table
 from tidemark.llm.decontamination import contaminated
 from tidemark.llm.line_dedup import without_common_lines
 from tidemark.llm.mixing import mixed
+from tidemark.llm.ngram_join import Threshold, ngram_components
 from tidemark.llm.sharding import shard_by_bytes
+from tidemark.llm.vector_dedup import vector_links
 from tidemark.session import scratch_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,12 +61,28 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_common_lines(docs)
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = fold("doc_id", 3) == 1
+    net = toxicity.fit(docs.join(labels.filter(~held_out), "doc_id"))
+    told = toxicity.score(docs, net)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return told.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"), "windows")
+
+
 @query
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_text.extract(pages, html_text.fit(pages))
 
 
+@query
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"), Threshold(90, 100), size=3)
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The totals after five deliveries: two tokenizer versions of all documents, the
@@ -119,6 +137,11 @@ FROM counts GROUP BY ALL
 """
 
 
+@query
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -117,8 +117,8 @@ def shingle_sets(found: Words, size: int) -> list[np.ndarray]:
             np.not_equal(own[1:], own[:-1], out=keep[1:])
             sets.append(own[keep])
         elif b > a:
-            value = (h[a:b] * _PLACE[: b - a]).sum(dtype=np.uint64) + _PLACE[32 + b - a]
-            sets.append(mix(np.array([value], dtype=np.uint64)))
+            value = (h[a:b] * _PLACE[: b - a]).sum(dtype=np.uint64, keepdims=True)
+            sets.append(mix(value + _PLACE[32 + b - a]))
         else:
             sets.append(np.zeros(0, dtype=np.uint64))
     return sets
