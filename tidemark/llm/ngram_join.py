@@ -435,7 +435,7 @@ def _across(large: DataFrame, edges: DataFrame, joined, tiled, threshold: Thresh
     left = (
         open_rows.filter("part <> main")
         .withColumn("chunk", F.pmod(mark, chunks).cast("int"))
-        .withColumn("tile", F.explode(F.sequence(F.lit(0), tiles - 1)).cast("long"))
+        .withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), tiles.cast("long") - 1)))
         .withColumn("small", F.lit(1))
         .select(*columns)
     )
