@@ -1,0 +1,76 @@
+import pytest
+
+from tidemark.llm import html_text as h
+
+PAGE = """<!DOCTYPE html><html><head><title>Name of the site</title><style>p{{margin:0}}</style>
+<script>var t="</p><article>no</article>";</script></head><body>
+<nav><ul><li><a href="/">Home</a></li><li><a href="/x">More of it</a></li></ul></nav>
+<!-- <article>nothing</article> --><div class="ad">Buy this now or never at all</div>
+{article}
+<aside class="sidebar">Read what others read today</aside>
+<section id="comments"><p>First comment of many, and a long one it is indeed, longer than the text</p></section>
+<form><label>Mail</label><button>Send</button></form><footer>&copy; 2024 all rights</footer></body></html>"""
+TEXT = "<article><h1>A &amp; B</h1><p>One <b>bold</b>ly   told\n story.<br>It goes&nbsp;on.</p><p>Second part &lt;x&gt;.</p></article>"
+CLEAN = "A & B One boldly told story. It goes on. Second part <x>."
+
+
+def test_article_without_what_is_around_it():
+    assert h.main_text(PAGE.format(article=TEXT), h.DEFAULT) == CLEAN
+    as_div = TEXT.replace("article>", "div>")
+    assert h.main_text(PAGE.format(article=as_div), h.DEFAULT) == CLEAN
+
+
+def test_what_interrupts_an_article_goes():
+    cut = TEXT.replace("<p>Second", '<div class="advert">Buy</div><script>x</script><p class="notice">Note<p>Second')
+    assert h.main_text(PAGE.format(article=cut), h.DEFAULT) == CLEAN
+
+
+@pytest.mark.parametrize("cut", [15, 40, 200])
+def test_pages_that_break_off_are_read_as_far_as_they_go(cut):
+    page = PAGE.format(article=TEXT)
+    text = h.main_text(page[: page.index("Second") + cut], h.DEFAULT)
+    assert text.startswith("A & B One boldly told story. It goes on. Second part")
+    assert "Buy" not in text and "Home" not in text
+
+
+def test_unclosed_advert_ends_where_the_article_opens():
+    page = '<div class="ad">Buy now<article><p>Text of it.</p></article>'
+    assert h.main_text(page, h.DEFAULT) == "Text of it."
+
+
+def brute(scores):
+    best, at = 0.0, (0, 0)
+    for i in range(len(scores)):
+        for j in range(i + 1, len(scores) + 1):
+            if sum(scores[i:j]) > best + 1e-9:
+                best, at = sum(scores[i:j]), (i, j)
+    return best, at
+
+
+def test_scan_finds_the_best_region():
+    import random
+
+    rng = random.Random(3)
+    for _ in range(200):
+        events = [h.Event("", "", False, "", rng.randint(0, 6)) if rng.random() < 0.5 else h.Event("p", "p", True) for _ in range(rng.randint(0, 14))]
+        weights = h.Weights(0.5, {"p": -rng.choice([0.5, 1.0, 1.5])}, -1)
+        best, _ = brute([weights.of(e) for e in events])
+        a, b = h.best_region(events, weights)
+        assert sum(weights.of(e) for e in events[a:b]) == pytest.approx(best)
+
+
+def test_fitted_weights_and_edge_cases(llm):
+    schema = "page_id long, url string, html string"
+    pages = [(i, f"u{i}", PAGE.format(article=TEXT.replace("Second", f"Second {i}"))) for i in range(60)]
+    weights = h.fit(llm.createDataFrame(pages, schema))
+    assert weights.tags["li"] < weights.tags["p"] < 0 < weights.word
+    odd = [(None, None, None), (1, "u", ""), (2, "u", "plain words only"), (3, "u", "<p>"), (4, "u", "< & > <<"),
+           (5, "u", "<article><p>" + "word " * 200_000), (6, "u", "<p>same"), (6, "u", "<p>same")]
+    df = llm.createDataFrame(odd, schema).selectExpr("*", "1 AS text", "2 AS n_chars")
+    got = h.extract(df, weights).collect()
+    texts = {r.page_id: r.text for r in got}
+    assert len(got) == len(odd) and texts[None] == texts[1] == texts[3] == ""
+    assert texts[2] == "plain words only" and texts[4] == "< & > <<" and texts[6] == "same"
+    assert len(texts[5]) == 999_999 and all(r.n_chars == len(r.text) for r in got)
+    assert h.extract(df.limit(0), weights).count() == 0
+    assert h.fit(df.limit(0)) == h.DEFAULT

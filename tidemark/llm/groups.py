@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import staged
+from tidemark.llm.common import kept
 
 
 def contiguous(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[tuple, pa.Table]]:
@@ -67,8 +67,8 @@ def smallest_member(firsts: DataFrame, linked: DataFrame, label: str) -> DataFra
     labelled = firsts.join(linked, "node", "left").select(
         "node", "first", F.coalesce("component", "node").alias("label")
     )
-    labelled = staged(labelled, f"{label}-labels")
-    least = staged(
+    labelled = kept(labelled, f"{label}-labels")
+    least = kept(
         labelled.groupBy("label").agg(F.min("first").alias("smallest")).withColumnRenamed("label", "l"),
         f"{label}-smallest",
     )

@@ -13,10 +13,9 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components
+from tidemark.llm.common import components, kept
 from tidemark.llm.groups import Sets, contiguous, smallest_member
 from tidemark.llm.text import mix, shingle_sets, text_bytes, words
-from tidemark.session import staged
 
 # Documents of one tree.
 TILE = 2000
@@ -259,7 +258,7 @@ def _sets_of(column: pa.ChunkedArray) -> list[np.ndarray]:
     return [values[at[i] : at[i + 1]] for i in range(len(flat))]
 
 
-def _edges(a: list[int], b: list[int]) -> pa.RecordBatch:
+def _edges(a: list[int] | np.ndarray, b: list[int] | np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
@@ -317,7 +316,7 @@ def ngram_components(
             )
 
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = staged(
+    signed = kept(
         own.mapInArrow(sign, "doc_id long, n long, mark long, keys array<long>"), "ngram-signed"
     )
     named = signed.filter("doc_id IS NOT NULL AND n > 0")
@@ -325,20 +324,20 @@ def ngram_components(
     # Blocks: documents that hold a key in common, and what those hold in common with others.
     held = named.select("mark", F.explode("keys").alias("key"))
     shared = held.groupBy("key").agg(F.min("mark").alias("least"), F.max("mark").alias("most"))
-    shared = staged(
+    shared = kept(
         shared.filter("least <> most").select(F.col("key").alias("k"), "least"), "ngram-shared"
     )
     _free(spark)
     near = held.join(shared, F.col("key") == F.col("k")).filter("mark <> least")
-    near = staged(near.select(F.col("mark").alias("a"), F.col("least").alias("b")).distinct(), "ngram-near")
+    near = kept(near.select(F.col("mark").alias("a"), F.col("least").alias("b")).distinct(), "ngram-near")
     _free(spark)
-    blocks = staged(components(near, "ngram-blocks").toDF("mark", "block"), "ngram-members")
+    blocks = kept(components(near, "ngram-blocks").toDF("mark", "block"), "ngram-members")
 
     # One document per distinct set, with its tokens, of those that are in a block.
-    firsts = staged(named.groupBy("mark").agg(F.min("doc_id").alias("first")), "ngram-firsts")
+    firsts = kept(named.groupBy("mark").agg(F.min("doc_id").alias("first")), "ngram-firsts")
     sizes = blocks.groupBy("block").agg(F.count("*").alias("held"))
-    sizes = staged(sizes.withColumnRenamed("block", "b"), "ngram-sizes")
-    members = staged(
+    sizes = kept(sizes.withColumnRenamed("block", "b"), "ngram-sizes")
+    members = kept(
         blocks.join(firsts, "mark").join(sizes, F.col("block") == F.col("b")).select("mark", "first", "block", "held"),
         "ngram-members",
     )
@@ -354,17 +353,25 @@ def ngram_components(
                 names=["mark", "block", "held", "tokens"],
             )
 
-    texts = own.join(members, F.col("doc_id") == F.col("first")).select("mark", "block", "held", "text")
+    # The members are as many as the corpus makes them, so they are not for broadcasting.
+    texts = own.join(members.hint("merge"), F.col("doc_id") == F.col("first"))
+    texts = texts.select("mark", "block", "held", "text")
     full = texts.mapInArrow(tokens, "mark long, block long, held long, tokens array<long>")
-    full = staged(full, "ngram-tokens")
+    full = kept(full, "ngram-tokens")
     _free(spark)
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in contiguous(batches, ["block", "tile"]):
             once = _distinct(rows)
-            marks = once.column("mark").to_pylist()
-            pairs = join_within(_sets_of(once.column("tokens")), threshold)
-            yield _edges([marks[i] for i, _ in pairs], [marks[j] for _, j in pairs])
+            marks = once.column("mark").to_numpy()
+            joined = Sets(len(marks))
+            for i, j in join_within(_sets_of(once.column("tokens")), threshold):
+                joined.join(i, j)
+            part = joined.labels()
+            least = marks.copy()
+            np.minimum.at(least, part, marks)
+            led = np.flatnonzero(marks != least[part])
+            yield _edges(marks[led], least[part][led])
 
     def tiled(rows: DataFrame) -> DataFrame:
         many = F.ceil(F.col("held") / TILE)
@@ -375,13 +382,13 @@ def ngram_components(
         dealt = rows.repartition("block", "tile").sortWithinPartitions("block", "tile")
         return dealt.mapInArrow(within, "a long, b long")
 
-    edges = staged(joined(tiled(full)), "ngram-links")
+    edges = kept(joined(tiled(full)), "ngram-links")
     large = full.filter(F.col("held") > TILE)
     if not large.isEmpty():
         edges = _across(large, edges, joined, tiled, threshold)
 
-    linked = staged(components(edges, "ngram-parts"), "ngram-parts")
-    smallest = staged(
+    linked = kept(components(edges, "ngram-parts"), "ngram-parts")
+    smallest = kept(
         smallest_member(firsts.withColumnRenamed("mark", "node"), linked, "ngram"), "ngram-smallest"
     )
     told = signed.join(smallest, (F.col("mark") == F.col("node")) & (F.col("n") > 0), "left")
@@ -400,7 +407,7 @@ def _across(large: DataFrame, edges: DataFrame, joined, tiled, threshold: Thresh
     """All links of blocks with several tiles, given those within the tiles."""
 
     def labelled(links: DataFrame, label: str) -> DataFrame:
-        parts = staged(components(links, label), label)
+        parts = kept(components(links, label), label)
         return large.join(parts, F.col("mark") == F.col("node"), "left").withColumn(
             "part", F.coalesce("component", "mark")
         )
@@ -408,19 +415,19 @@ def _across(large: DataFrame, edges: DataFrame, joined, tiled, threshold: Thresh
     # One document of each component in a block, in tiles of their own.
     rows = labelled(edges, "ngram-tile-parts").filter("mark = part").drop("held")
     counts = rows.groupBy("block").agg(F.count("*").alias("held"))
-    counts = staged(counts.withColumnRenamed("block", "b"), "ngram-part-counts")
+    counts = kept(counts.withColumnRenamed("block", "b"), "ngram-part-counts")
     rows = rows.join(counts, F.col("block") == F.col("b")).select("mark", "block", "held", "tokens")
-    edges = staged(edges.unionByName(joined(tiled(rows))), "ngram-links")
+    edges = kept(edges.unionByName(joined(tiled(rows))), "ngram-links")
 
     # What is outside a block's largest component, against the whole block.
     rows = labelled(edges, "ngram-block-parts").select("mark", "block", "held", "tokens", "part")
-    rows = staged(rows, "ngram-large")
+    rows = kept(rows, "ngram-large")
     counts = rows.groupBy("block", "part").agg(F.count("*").alias("n"))
     most = counts.groupBy("block").agg(
         F.max_by("part", F.struct("n", "part")).alias("main"),
         (F.sum("n") - F.max("n")).alias("others"),
     )
-    most = staged(most.filter("others > 0").withColumnRenamed("block", "b"), "ngram-main-parts")
+    most = kept(most.filter("others > 0").withColumnRenamed("block", "b"), "ngram-main-parts")
     open_rows = rows.join(most, F.col("block") == F.col("b"))
     tiles = F.ceil(F.col("held") / TILE).cast("int")
     chunks = F.ceil(F.col("others") / TILE).cast("int")
@@ -454,4 +461,4 @@ def _across(large: DataFrame, edges: DataFrame, joined, tiled, threshold: Thresh
 
     dealt = right.unionByName(left).repartition("block", "tile", "chunk")
     dealt = dealt.sortWithinPartitions("block", "tile", "chunk")
-    return staged(edges.unionByName(dealt.mapInArrow(across, "a long, b long")), "ngram-links")
+    return kept(edges.unionByName(dealt.mapInArrow(across, "a long, b long")), "ngram-links")

@@ -11,10 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components
+from tidemark.llm.common import components, kept
 from tidemark.llm.groups import contiguous, smallest_member
 from tidemark.llm.text import mix
-from tidemark.session import staged
 
 # Width of a bucket of a projection, in distances between vectors of length 1.
 WIDTH = 1.2
@@ -140,12 +139,12 @@ def vector_links(
         "v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     )
     sound &= F.exists("v", lambda x: x != 0)
-    marked = staged(
+    marked = kept(
         own.withColumn("node", F.when(F.coalesce(sound, F.lit(False)), F.xxhash64("v"))), "vector-rows"
     )
     valid = marked.filter("node IS NOT NULL")
     firsts = valid.groupBy("node").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.first("v").alias("v"))
-    firsts = staged(firsts, "vector-nodes")
+    firsts = kept(firsts, "vector-nodes")
     hashing = Hashing.for_rows(firsts.count(), cosine)
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,10 +157,10 @@ def vector_links(
     hashed = firsts.select("node", "copies", "v").mapInArrow(
         bucket, f"node long, copies long, v {kind}, cells array<int>"
     )
-    hashed = staged(hashed, "vector-buckets")
+    hashed = kept(hashed, "vector-buckets")
     places = hashed.select("node", F.posexplode("cells").alias("t", "cell"))
     held = places.groupBy("t", "cell").agg(F.count("*").alias("n")).filter("n > 1")
-    held = staged(held.select(F.col("t").alias("t_"), F.col("cell").alias("cell_"), "n"), "vector-held")
+    held = kept(held.select(F.col("t").alias("t_"), F.col("cell").alias("cell_"), "n"), "vector-held")
     met = places.join(held, (F.col("t") == F.col("t_")) & (F.col("cell") == F.col("cell_")))
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     mine = F.pmod(F.xxhash64("node"), tiles).cast("int")
@@ -216,16 +215,16 @@ def vector_links(
                 out, a_side, b_side = {}, [], []
         yield _found(out, a_side, b_side)
 
-    found = staged(dealt.mapInArrow(compare, "a long, b long, links long"), "vector-links")
+    found = kept(dealt.mapInArrow(compare, "a long, b long, links long"), "vector-links")
     counts = found.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
-    linked = staged(components(found.filter("b IS NOT NULL").select("a", "b"), "vector"), "vector-parts")
+    linked = kept(components(found.filter("b IS NOT NULL").select("a", "b"), "vector"), "vector-parts")
     nodes = (
         smallest_member(firsts.select("node", "first"), linked, "vector")
         .join(firsts.select("node", "copies"), "node")
         .join(counts.withColumnRenamed("a", "node"), "node", "left")
         .select(F.col("node").alias("n"), "smallest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     )
-    told = marked.join(staged(nodes, "vector-results"), F.col("node") == F.col("n"), "left")
+    told = marked.join(kept(nodes, "vector-results"), F.col("node") == F.col("n"), "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("smallest", "vec_id"))
     return told.select(
         "vec_id",
