@@ -21,13 +21,13 @@ def events(frame, rows):
 
 
 def test_funnel_rates(frame):
-    kinds = ["page_view"] * 3 + ["add_to_cart"] * 2 + ["purchase"]
-    df = events(frame, [("10:00:00", 101, kind, "s", 0, 1) for kind in kinds])
-    row = gold.product_funnel(df).first()
-    assert (row.event_date, row.page_view_count, row.cart_count) == (date(2026, 3, 8), 3, 2)
-    assert (row.checkout_count, row.product_click_count, row.purchase_count) == (0, 0, 1)
-    assert row.view_to_purchase_rate == pytest.approx(1 / 3)
-    assert row.cart_abandonment_rate == 0.5
+    kinds = {"page_view": 8, "product_click": 5, "add_to_cart": 4, "checkout": 3, "purchase": 1}
+    rows = [("21:40:00", 6, kind, "s", 0, 1) for kind, n in kinds.items() for _ in range(n)]
+    (row,) = gold.product_funnel(events(frame, rows)).collect()
+    assert (row.event_date, row.product_id) == (date(2026, 3, 8), 6)
+    assert (row.page_view_count, row.product_click_count, row.cart_count) == (8, 5, 4)
+    assert (row.checkout_count, row.purchase_count) == (3, 1)
+    assert (row.view_to_purchase_rate, row.cart_abandonment_rate) == (0.125, 0.75)
 
 
 def test_funnel_without_views_or_product(frame):
@@ -48,14 +48,50 @@ def test_day_filter_reaches_the_scan(spark, frame, tmp_path):
     assert gold.product_funnel(spark.read.parquet(path), "2026-03-09").count() == 0
 
 
-def test_alert_thresholds(frame):
-    funnel = frame(
-        "product_id bigint, cart_count bigint, cart_abandonment_rate double",
-        [(101, 20, 0.9), (102, 11, 0.63), (103, 9, 0.89), (104, 15, 0.2), (105, 10, 0.9), (106, 11, 0.6)],
-    )
+def test_alert_thresholds_are_exclusive(frame):
+    rates, carts = (0.59, 0.6, 0.61, 0.8, 0.81), (10, 11)
+    rows = [(100 * c + int(100 * r), c, r) for r in rates for c in carts]
+    funnel = frame("product_id bigint, cart_count bigint, cart_abandonment_rate double", rows)
     found = {r.product_id: r.severity for r in gold.inventory_alerts(funnel).collect()}
-    assert found == {101: "HIGH", 102: "MEDIUM"}
-    assert gold.inventory_alerts(funnel, min_rate=0.1, min_carts=8).count() == 6
+    assert found == {1161: "MEDIUM", 1180: "MEDIUM", 1181: "HIGH"}
+    assert gold.inventory_alerts(funnel, min_rate=0.6, min_carts=9).count() == 6
+
+
+def test_a_missing_score_meets_no_threshold(spark):
+    schema = "recency_score int, frequency_score int, monetary_score int"
+    rows = [(None, 4, 4), (4, None, 4), (4, 4, None), (None, None, None), (2, 3, None)]
+    labels = [r.segment_label for r in gold.label_segments(spark.createDataFrame(rows, schema)).collect()]
+    assert labels == ["New_Customer", "New_Customer", "Loyal", "New_Customer", "At_Risk"]
+
+
+def test_types_of_the_marts(spark):
+    from tidemark.plans.catalogue import _customers, _funnel, _orders
+    from tidemark.plans.silver import timely_events
+    from tidemark.sources import testdata as td
+
+    sf = "/root/testdata/sf0.001"
+    kinds = lambda df: dict(df.dtypes)
+    sales = kinds(gold.daily_sales(_orders(spark, sf), _customers(spark, sf)))
+    assert (sales["order_date"], sales["total_revenue"]) == ("date", "decimal(25,2)")
+    assert sales["order_count"] == sales["unique_customers"] == "bigint"
+    base = kinds(gold.rfm_base(_orders(spark, sf), "2001-09-01"))
+    assert (base["monetary"], base["last_order_date"], base["recency_days"]) == ("decimal(25,2)", "date", "int")
+    funnel = kinds(_funnel(spark, sf))
+    assert (funnel["event_date"], funnel["cart_abandonment_rate"]) == ("date", "double")
+    traffic = kinds(gold.hourly_traffic(timely_events(td.bronze_events(spark, sf))))
+    assert (traffic["event_date"], traffic["event_hour"], traffic["bounce_rate"]) == ("date", "int", "double")
+
+
+def test_traffic_of_all_days_is_that_of_each_day(frame):
+    times = ["2026-03-08 23:50:00", "2026-03-09 00:10:00", "2026-03-09 00:20:00"]
+    df = frame(
+        "event_timestamp timestamp, event_type string, session_id string",
+        [(t, k, "night") for t, k in zip(times, ["view", "purchase", "view"], strict=True)],
+    )
+    together = sorted(map(tuple, gold.hourly_traffic(df).collect()))
+    apart = [r for day in ("2026-03-08", "2026-03-09") for r in gold.hourly_traffic(df, day).collect()]
+    assert together == sorted(map(tuple, apart)) and len(together) == 2
+    assert [(r[1], r[3], r[4], r[6]) for r in together] == [(0, 1, 600.0, 0.0), (23, 0, 0.0, 1.0)]
 
 
 def expected_label(r, f, m):

@@ -26,18 +26,18 @@ from tidemark.quality.suites import (
     constraint_suites,
 )
 
-COLUMNS = "id int, category string, amount double"
-CHECKS = [RowCount(2), NullRate("category"), DuplicateRate(("id",)), ValueRange("amount", 0, 100)]
+COLUMNS = "reading int, station string, celsius double"
+CHECKS = [RowCount(3), NullRate("station"), DuplicateRate(("reading",)), ValueRange("celsius", -40, 50)]
 
 
 @pytest.fixture(scope="module")
 def clean(frame):
-    return frame(COLUMNS, [(1, "A", 10.0), (2, "B", 100.0)])
+    return frame(COLUMNS, [(71, "harbour", -40.0), (72, "hill", 50.0), (73, "hill", 11.5)])
 
 
 @pytest.fixture(scope="module")
 def bad(frame):
-    return frame(COLUMNS, [(1, None, -10.0), (1, None, 200.0)])
+    return frame(COLUMNS, [(74, None, 51.0), (74, "hill", -40.5), (74, None, 50.5), (75, "hill", 0.0)])
 
 
 def metrics(report):
@@ -46,20 +46,20 @@ def metrics(report):
 
 def test_clean_data_passes(clean):
     report = run_suite(clean, "clean", CHECKS)
-    assert metrics(report) == [(True, 2), (True, 0), (True, 0), (True, 0)]
+    assert metrics(report) == [(True, 3), (True, 0), (True, 0), (True, 0)]
     assert report.passed and report.raise_if_failed() is report
     assert report.summary()["passed_checks"] == 4
 
 
 def test_bad_data_fails(bad):
-    report = run_suite(bad, "bad", [RowCount(3), *CHECKS[1:]])
-    assert metrics(report) == [(False, 2), (False, 1), (False, 0.5), (False, 2)]
-    with pytest.raises(QualityError, match="bad: bad has 2 rows, at least 3 expected"):
+    report = run_suite(bad, "bad", [RowCount(5), *CHECKS[1:]])
+    assert metrics(report) == [(False, 4), (False, 0.5), (False, 0.5), (False, 3)]
+    with pytest.raises(QualityError, match="bad: bad has 4 rows, at least 5 expected"):
         report.raise_if_failed()
 
 
 def test_empty_table(clean):
-    report = run_suite(clean.limit(0), "none", [*CHECKS, Freshness("category", 5)])
+    report = run_suite(clean.limit(0), "none", [*CHECKS, Freshness("station", 5)])
     assert [r.passed for r in report.results] == [False, False, False, True, False]
     assert report.results[1].metric_value == "empty_dataframe"
     assert report.results[2].metric_value == "empty_dataframe"

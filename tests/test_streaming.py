@@ -9,11 +9,12 @@ from tidemark.spec import BRONZE_EVENT_SCHEMA, SILVER_EVENT_SCHEMA
 from tidemark.streaming import (
     dedup_stream,
     ingest_available,
+    refresh_landed,
     stream_silver_events,
     timely_stream,
     write_stream,
 )
-from tidemark.streaming.ingest import BOUNDED, drain
+from tidemark.streaming.ingest import BOUNDED, drain, land, landed_slices
 
 SF = "/root/testdata/sf0.001"
 
@@ -109,8 +110,47 @@ def test_silver_slices_follow_the_stream(spark, topic, parsed, tmp_path):
     events = parse_events(read_events(spark, "parquet", options, MESSAGE_SCHEMA))
     query = stream_silver_events(events, bronze, silver, str(tmp_path / "offsets"), BOUNDED)
     assert drain(query)["status"] == "ingested"
+    assert refresh_landed(spark, bronze, silver) and refresh_landed(spark, bronze, silver) == []
     taken_in = F.col("ingestion_timestamp")
     expected = to_silver_events(parsed.withColumn("bronze_ingested_at", taken_in))
     found = read_table(spark, silver, SILVER_EVENT_SCHEMA)
     columns = [c for c in expected.columns if c != "bronze_ingested_at"]
     assert rows(found.select(columns)) == rows(expected.select(columns))
+
+
+def test_streams_and_batches_land_in_one_table(spark, topic, parsed, tmp_path):
+    path, offsets = str(tmp_path / "bronze"), str(tmp_path / "offsets")
+    ingest_available(stream(spark, topic), path, offsets)
+    more = parse_events(spark.read.parquet(topic)).withColumn("event_id", F.concat(F.lit("x"), "event_id"))
+    for _ in range(2):
+        land(more, path, "again")
+    landed = read_table(spark, path, BRONZE_EVENT_SCHEMA)
+    assert landed.count() == 2 * parsed.count()
+    assert {r.batch for r in landed_slices(spark, path).collect()} > {"again"}
+
+
+def test_a_batch_run_again_replaces_itself(spark, topic, parsed, tmp_path):
+    """Offsets are lost after landing: the feed takes everything in again under the same names."""
+    path, offsets = str(tmp_path / "bronze"), str(tmp_path / "offsets")
+    ingest_available(stream(spark, topic), path, offsets)
+    (tmp_path / "offsets").rename(tmp_path / "lost")
+    assert ingest_available(stream(spark, topic), path, offsets)["rows_ingested"] == parsed.count()
+    assert read_table(spark, path, BRONZE_EVENT_SCHEMA).count() == parsed.count()
+
+
+def test_a_folder_of_a_streaming_sink_is_refused(spark, parsed, tmp_path):
+    path = tmp_path / "bronze"
+    (path / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="streaming sink's log"):
+        land(parsed, str(path), "b1")
+
+
+def test_landing_leaves_days_alone_until_the_refresh(spark, topic, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    query = stream_silver_events(
+        stream(spark, topic), bronze, silver, str(tmp_path / "offsets"), BOUNDED, refresh_every=100
+    )
+    drain(query)
+    assert read_table(spark, silver, SILVER_EVENT_SCHEMA).count() == 0
+    days = refresh_landed(spark, bronze, silver)
+    assert days == sorted(r.slice for r in landed_slices(spark, bronze).select("slice").distinct().collect())

@@ -11,9 +11,6 @@ from tidemark.operators.dedup import current_snapshot
 from tidemark.operators.ranks import rows_at_ranks
 from tidemark.spec import TableSpec
 
-# A limit up to this many rows is taken by Spark's top-n, which ends in one task.
-TOP_N_ROWS = 10_000
-
 
 def _after(df: DataFrame, columns: Sequence[str], position: Mapping[str, object]) -> Column:
     """Row-wise ``columns > position``, spelled out so that the first column reaches the scan."""
@@ -32,7 +29,6 @@ def changes_after(
     key_cols: Sequence[str],
     watermark: Mapping[str, object] | None = None,
     limit: int | None = None,
-    top_n_rows: int = TOP_N_ROWS,
 ) -> DataFrame:
     """Rows changed after ``watermark``, at most the ``limit`` oldest ones.
 
@@ -40,7 +36,8 @@ def changes_after(
     share one timestamp can be split over batches and none is lost. A watermark
     with the timestamp alone excludes that whole instant.
     ``(ts_col, *key_cols)`` must be unique. Row order is not part of the result.
-    Beyond ``top_n_rows`` the limit is found by range partitioning, which runs jobs.
+    A limit is found by range partitioning, which runs jobs: the result is a filter on
+    the row it ends at, so no task ever holds a batch.
     """
     order = [ts_col, *key_cols]
     pending = df.filter(F.col(ts_col).isNotNull())
@@ -49,8 +46,6 @@ def changes_after(
         pending = pending.filter(_after(df, given, watermark))
     if limit is None:
         return pending
-    if limit <= top_n_rows:
-        return pending.orderBy(*order).limit(limit)
     # Times travel through the driver as microseconds, free of its time zone.
     positions = pending.select(
         F.unix_micros(F.col(ts_col).cast("timestamp")).alias(ts_col), *key_cols

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import HOT_ROWS, join_group_metrics
+from tidemark.session import staged
 
 
 def with_session_metrics(
@@ -15,14 +15,13 @@ def with_session_metrics(
     keys: Sequence[str] = ("session_id",),
     ts_col: str = "event_timestamp",
     type_col: str = "event_type",
-    spread_on: Sequence[str] = ("event_id",),
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add event count, first and last time, length and conversion of each event's session.
 
-    An aggregate joined back rather than a window: the aggregate is combined on the
-    map side and the join spreads the events of a huge session, while a window would
-    pull that session through a single task. ``keys`` must not be NULL.
+    The metrics, one row per session, are combined on the map side and staged, then joined
+    back: with no aggregate left beside it in the join, AQE can split a session of any
+    size over tasks. A window would pull that session through a single one. ``df`` is read
+    twice, so stage it if it is dear; ``keys`` must not be NULL. Runs a job.
     """
     first, last = F.min(ts_col), F.max(ts_col)
     metrics = df.groupBy(*keys).agg(
@@ -32,4 +31,5 @@ def with_session_metrics(
         (F.unix_timestamp(last) - F.unix_timestamp(first)).alias("session_duration_seconds"),
         F.coalesce(F.bool_or(F.col(type_col) == "purchase"), F.lit(False)).alias("is_conversion"),
     )
-    return join_group_metrics(df, metrics, keys, "session_event_count", spread_on, hot_rows)
+    added = [c for c in metrics.columns if c not in keys]
+    return df.join(staged(metrics, "session-metrics"), list(keys), "left").select(*df.columns, *added)

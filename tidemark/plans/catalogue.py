@@ -5,10 +5,11 @@ Every query takes (spark, folder of the tables) and runs over whole tables.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +27,7 @@ from tidemark.operators import (
 from tidemark.plans import gold, jobs, reports
 from tidemark.plans.silver import deduped_events, timely_events, to_silver, to_silver_events
 from tidemark.quality import (
+    ALERT_SCHEMA,
     DuplicateRate,
     ForeignKey,
     Freshness,
@@ -34,15 +36,16 @@ from tidemark.quality import (
     ValueRange,
     alert_rows,
     check_suite,
+    run_suite,
 )
 from tidemark.quality.suites import (
     DAILY_SALES_SUITE,
     PRODUCT_FUNNEL_SUITE,
     constraint_suites,
 )
-from tidemark.session import scratch_path, tune
-from tidemark.sinks import replace_slices
-from tidemark.sources import parse_events, read_events, read_table
+from tidemark.session import exists, scratch_path, staged, tune
+from tidemark.sinks import append_counted, replace_slices
+from tidemark.sources import parse_events, read_events, read_table, register_gold_views
 from tidemark.sources import testdata as td
 from tidemark.spec import (
     BRONZE_EVENT_SCHEMA,
@@ -53,13 +56,15 @@ from tidemark.spec import (
     SLICE,
     order_table,
 )
+from tidemark.sources.events import MESSAGE_SCHEMA
 from tidemark.streaming import (
     dedup_stream,
     ingest_available,
+    refresh_landed,
     stream_silver_events,
     timely_stream,
 )
-from tidemark.streaming.ingest import BOUNDED, drain
+from tidemark.streaming.ingest import BOUNDED, drain, land
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +76,7 @@ SNAPSHOT_DATE = "2001-09-01"
 AS_OF = "2024-02-01 00:00:00"
 FEED_SPLIT = "1998-01-01 00:00:00"
 BATCH_ROWS = 5000
+SEASON_START, SEASON_DAYS, SEASON_SPLIT = "1990-01-01", 64, "1990-02-10 00:00:00"
 
 _QUERIES: dict[str, Query] = {}
 
@@ -129,6 +135,15 @@ def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return td.messages(read_events(spark, "parquet", files, td.TABLES["events"]))
 
 
+def _message_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages as a stream of five micro-batches, dealt by a hash of their key and value."""
+    path = scratch_path(spark, "topic")
+    messages = td.messages(td.table(spark, sf_dir, "events"))
+    messages.repartition(5, "key", "value").write.parquet(path)
+    options = {"path": path, "maxFilesPerTrigger": "1"}
+    return read_events(spark, "parquet", options, MESSAGE_SCHEMA)
+
+
 # --- Bronze and change feeds --------------------------------------------------------
 
 
@@ -143,7 +158,7 @@ def cdc_batch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     position = {"updated_at": FEED_SPLIT, "order_id": 0}
     feed = td.orders(spark, sf_dir)
     return changes_after(
-        feed, "updated_at", ["order_id"], position, BATCH_ROWS, top_n_rows=0
+        feed, "updated_at", ["order_id"], position, BATCH_ROWS
     ).select("order_id", "order_status", "updated_at", "partition_date")
 
 
@@ -200,9 +215,9 @@ def silver_events_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Session metrics over all slices at once."""
-    events = timely_events(td.bronze_events(spark, sf_dir))
-    return with_session_metrics(events).select(
+    """Session metrics by slice: a session is what one slice holds of it."""
+    events = staged(timely_events(td.bronze_events(spark, sf_dir)), "timely-events")
+    return with_session_metrics(events, ["session_id", SLICE]).select(
         "event_id",
         "session_id",
         "session_event_count",
@@ -228,10 +243,8 @@ def gold_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_daily_sales_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The day goes to the feed: an order keeps its order time in every version.
-    feed = gold.on_day(td.orders(spark, sf_dir), "order_timestamp", ORDER_DAY)
-    orders = current_snapshot(standardise(feed, ORDERS), ORDERS)
-    return gold.daily_sales(orders, _customers(spark, sf_dir))
+    # Versions are reduced first: one of them may have another order time.
+    return gold.daily_sales(_orders(spark, sf_dir), _customers(spark, sf_dir), ORDER_DAY)
 
 
 @query
@@ -248,7 +261,7 @@ def gold_product_funnel_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_hourly_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.hourly_traffic(_events(spark, sf_dir))
+    return gold.hourly_traffic(timely_events(td.bronze_events(spark, sf_dir)))
 
 
 @query
@@ -292,7 +305,8 @@ def report_conversion_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def report_hourly_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.hourly_traffic(gold.hourly_traffic(_events(spark, sf_dir)), EVENT_DAY)
+    bronze = gold.on_day(td.bronze_events(spark, sf_dir), "event_timestamp", EVENT_DAY)
+    return reports.hourly_traffic(gold.hourly_traffic(timely_events(bronze)), EVENT_DAY)
 
 
 @query
@@ -434,9 +448,11 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies over several micro-batches. The files hold times a month apart, so the delay is
+    one that covers them; rows behind a watermark would go."""
     path, checkpoint = scratch_path(spark, "deduped"), scratch_path(spark, "offsets")
-    events = parse_events(_message_stream(spark, sf_dir))
-    ingest_available(dedup_stream(events), path, checkpoint)
+    events = parse_events(_message_files(spark, sf_dir))
+    ingest_available(dedup_stream(events, delay="40 days"), path, checkpoint)
     # Which copy is kept depends on arrival; what copies share does not.
     return read_table(spark, path, BRONZE_EVENT_SCHEMA).select(
         "event_id", "session_id", "user_id", "event_timestamp", "product_id", SLICE
@@ -454,12 +470,13 @@ def stream_timely(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_silver_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver kept up to date by micro-batches, read back."""
+    """Silver kept up to date while five micro-batches land, read back."""
     bronze, silver, checkpoint = (
         scratch_path(spark, name) for name in ("bronze", "silver", "offsets")
     )
-    events = parse_events(_message_stream(spark, sf_dir))
-    drain(stream_silver_events(events, bronze, silver, checkpoint, BOUNDED))
+    events = parse_events(_message_files(spark, sf_dir))
+    drain(stream_silver_events(events, bronze, silver, checkpoint, BOUNDED, refresh_every=2))
+    refresh_landed(spark, bronze, silver)
     return read_table(spark, silver, SILVER_EVENT_SCHEMA).drop("bronze_ingested_at")
 
 
@@ -490,7 +507,170 @@ def job_clickstream_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = parse_events(_message_stream(spark, sf_dir))
     ingest_available(events, lake.bronze_events, lake.events_checkpoint)
     jobs.build_silver_events(spark, lake, [EVENT_DAY])
-    jobs.build_hourly_traffic(spark, lake, EVENT_DAY)
+    jobs.build_hourly_traffic(spark, lake, [EVENT_DAY])
     return read_table(spark, lake.gold("gold_hourly_traffic")).filter(
         F.col("event_date") == F.lit(EVENT_DAY).cast("date")
     )
+
+
+@query
+def stream_mixed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the messages landed by a bounded stream, half as a batch that is repeated,
+    in one table: every row is there once."""
+    path, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "offsets")
+    parsed = parse_events(_message_stream(spark, sf_dir))
+    even = F.col("event_id").cast("bigint") % 2 == 0
+    ingest_available(parsed.filter(even), path, checkpoint)
+    rest = parse_events(td.messages(td.table(spark, sf_dir, "events"))).filter(~even)
+    for _ in range(2):
+        land(rest, path, "backfill-1")
+    landed = read_table(spark, path, BRONZE_EVENT_SCHEMA)
+    return landed.groupBy(SLICE, "event_id").agg(F.count("*").alias("n"))
+
+
+_LAKES: dict[tuple[str, str, str], jobs.Lake] = {}
+
+
+def _lake(
+    spark: SparkSession, sf_dir: str, kind: str, fill: Callable[[SparkSession, str, jobs.Lake], None]
+) -> jobs.Lake:
+    """A lake filled once per session and folder, for the queries that look at its tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    lake = _LAKES.get(key)
+    if lake is None or not exists(spark, lake.root):
+        lake = jobs.Lake(scratch_path(spark, "lake"))
+        fill(spark, sf_dir, lake)
+        _LAKES[key] = lake
+    return lake
+
+
+def _in_season(ts: Column) -> Column:
+    """The time moved by whole seasons into the first one, so that a run has a season's days."""
+    start = F.unix_timestamp(F.lit(SEASON_START).cast("timestamp"))
+    return F.timestamp_seconds(start + F.pmod(F.unix_timestamp(ts) - start, F.lit(SEASON_DAYS * 86400)))
+
+
+def _run_orders_twice(spark: SparkSession, sf_dir: str, lake: jobs.Lake) -> None:
+    """The four tables taken in by two runs, with all their rows moved into one season. The
+    first run's feed of orders ends before the late changes, so the second changes orders
+    of days that are built already."""
+    audit = ("source_table", "ingested_at", SLICE)
+    items = td.order_items(spark, sf_dir).drop(*audit)
+    orders = td.orders(spark, sf_dir).drop(*audit)
+    ordered = _in_season(F.col("order_timestamp"))
+    sources = {
+        "customers": td.customers(spark, sf_dir).drop(*audit),
+        "products": td.products(spark, sf_dir).drop(*audit),
+        "orders": orders.withColumns(
+            {
+                "order_timestamp": ordered,
+                "created_at": ordered,
+                "updated_at": ordered + (F.col("updated_at") - F.col("order_timestamp")),
+            }
+        ),
+        "order_items": items.withColumns(
+            {c: _in_season(F.col(c)) for c in ("created_at", "updated_at")}
+        ),
+    }
+    early = F.col("updated_at") <= F.lit(SEASON_SPLIT).cast("timestamp")
+    for feed in ({**sources, "orders": sources["orders"].filter(early)}, sources):
+        jobs.run_orders(spark, lake, feed, SEASON_START, gate=False)
+
+
+def _orders_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
+    return _lake(spark, sf_dir, "orders", _run_orders_twice)
+
+
+@query
+def current_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored current table after several batches of changes."""
+    lake = _orders_lake(spark, sf_dir)
+    return jobs.read_current(spark, lake, ORDERS).drop("ingested_at")
+
+
+@query
+def job_orders_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of all days after two runs over all four tables."""
+    lake = _orders_lake(spark, sf_dir)
+    return read_table(spark, lake.gold("gold_daily_sales"))
+
+
+@query
+def job_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments built from the stored current orders."""
+    lake = _orders_lake(spark, sf_dir)
+    jobs.build_customer_segments(spark, lake, SNAPSHOT_DATE)
+    segments = read_table(spark, lake.gold("gold_customer_segments"))
+    return segments.filter(F.col("snapshot_date") == F.lit(SNAPSHOT_DATE).cast("date"))
+
+
+def _run_clickstream(spark: SparkSession, sf_dir: str, lake: jobs.Lake) -> None:
+    jobs.run_clickstream(spark, lake, _message_files(spark, sf_dir), EVENT_DAY, gate=False)
+
+
+def _clickstream_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
+    return _lake(spark, sf_dir, "clickstream", _run_clickstream)
+
+
+@query
+def job_clickstream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traffic of all days after one run over the whole topic."""
+    return read_table(spark, _clickstream_lake(spark, sf_dir).gold("gold_hourly_traffic"))
+
+
+@query
+def job_funnel_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts built from the stored funnel, twice: the table is replaced as a whole."""
+    lake = _clickstream_lake(spark, sf_dir)
+    for _ in range(2):
+        jobs.build_inventory_alerts(spark, lake, min_rate=0.1, min_carts=2, high_rate=0.4)
+    return read_table(spark, lake.gold("gold_inventory_alerts"))
+
+
+@query
+def report_from_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report over the registered view of the stored funnel."""
+    register_gold_views(spark, _clickstream_lake(spark, sf_dir).gold_root)
+    return reports.top_revenue_products(spark.table("gold_product_funnel"), *RANGE, top_n=5)
+
+
+@query
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runner's report of a suite given as dictionaries, and what its gate would say."""
+    report = run_suite(_funnel(spark, sf_dir), "gold_product_funnel", PRODUCT_FUNNEL_SUITE)
+    summary = report.summary()
+    row = (
+        summary["table_name"],
+        summary["passed"],
+        summary["total_checks"],
+        summary["passed_checks"],
+        report.failed_checks,
+    )
+    schema = "table_name string, passed boolean, total_checks long, passed_checks long, failed_checks long"
+    return spark.createDataFrame([row], schema)
+
+
+@query
+def dq_alert_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of failed checks, appended to a table and read back with their payload opened."""
+    path = scratch_path(spark, "alerts")
+    results = check_suite(_funnel(spark, sf_dir), "gold_product_funnel", PRODUCT_FUNNEL_SUITE)
+    append_counted(alert_rows(results, AS_OF), path, None)
+    stored = read_table(spark, path, ALERT_SCHEMA)
+    return stored.select(
+        "alert_type",
+        "table_name",
+        "alert_message",
+        F.get_json_object("alert_payload", "$.message").alias("payload_message"),
+        F.get_json_object("alert_payload", "$.threshold_value").alias("payload_threshold"),
+    )
+
+
+@query
+def dq_failure_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that breaks off leaves an alert."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    count = _orders(spark, sf_dir).count()
+    with contextlib.suppress(RuntimeError), jobs.alert_on_failure(spark, lake, "probe"):
+        raise RuntimeError(f"{count} orders")
+    return read_table(spark, lake.alerts, ALERT_SCHEMA).select("severity", "alert_type", "alert_message")

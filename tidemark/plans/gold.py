@@ -88,27 +88,38 @@ def product_funnel(events: DataFrame, day: str | date | None = None) -> DataFram
 def hourly_traffic(events: DataFrame, day: str | date | None = None) -> DataFrame:
     """Sessions by the hour they start in, and events by the hour they happen in.
 
-    Both groupings come from one pass over the events (grouping sets), and meet
-    again as one more aggregation instead of a join. Hours in which no session
-    starts are left out.
+    A session is what one day holds of it, so the days of a table can be built one by one
+    or together. Needs event times, types and session ids alone: length and number of
+    events of a session come out of the same grouping. Both groupings come from one pass
+    over the events (grouping sets), and meet again as one more aggregation instead of
+    a join. Hours in which no session starts are left out.
     """
     by_session, by_hour = F.grouping_id() == 1, F.grouping_id() == 2
-    hour_start = F.date_trunc("hour", "event_timestamp")
+    first, last = F.min("event_timestamp"), F.max("event_timestamp")
     both = (
         on_day(events, "event_timestamp", day)
-        .withColumn("event_hour_start", hour_start)
+        .select(
+            "session_id",
+            "event_type",
+            "event_timestamp",
+            F.to_date("event_timestamp").alias("day"),
+            F.date_trunc("hour", "event_timestamp").alias("event_hour_start"),
+        )
         .groupingSets(
-            [["session_id"], ["event_hour_start"]], "session_id", "event_hour_start"
+            [["day", "session_id"], ["day", "event_hour_start"]],
+            "day",
+            "session_id",
+            "event_hour_start",
         )
         .agg(
             by_session.alias("is_session"),
-            F.when(by_session, F.date_trunc("hour", F.min("event_timestamp")))
+            F.when(by_session, F.date_trunc("hour", first))
             .otherwise(F.col("event_hour_start"))
             .alias("hour_start"),
             F.when(by_hour, F.count(F.lit(1))).alias("events"),
-            F.max("session_duration_seconds").alias("duration"),
+            (F.unix_timestamp(last) - F.unix_timestamp(first)).alias("duration"),
             F.coalesce(F.bool_or(F.col("event_type") == "purchase"), F.lit(False)).alias("bought"),
-            F.coalesce(F.bool_or(F.col("session_event_count") == 1), F.lit(False)).alias("bounced"),
+            (F.count(F.lit(1)) == 1).alias("bounced"),
         )
     )
     session = F.col("is_session")
@@ -167,10 +178,11 @@ def rfm_scores(base: DataFrame, k: int = 5, tie_break: str = "customer_id") -> D
 
 
 def segment_label(recency: Column, frequency: Column, monetary: Column) -> Column:
-    # The thresholds and names of the segments, first match wins.
+    # The thresholds and names of the segments, first match wins. A NULL score
+    # meets no threshold.
     return (
-        F.when(F.least(recency, frequency, monetary) >= 4, "Champions")
-        .when(F.least(recency, frequency) >= 3, "Loyal")
+        F.when((recency >= 4) & (frequency >= 4) & (monetary >= 4), "Champions")
+        .when((recency >= 3) & (frequency >= 3), "Loyal")
         .when((recency <= 2) & (frequency >= 3), "At_Risk")
         .when((recency == 1) & (frequency <= 2), "Lost")
         .otherwise("New_Customer")

@@ -15,6 +15,8 @@ from tidemark.plans.catalogue import (
     FEED_SPLIT,
     ORDER_DAY,
     RANGE,
+    SEASON_DAYS,
+    SEASON_START,
     SNAPSHOT_DATE,
 )
 
@@ -126,7 +128,7 @@ TABLES = {
           FROM lineitem)""",
     "events_sent": f"""
         SELECT CAST(event_id AS VARCHAR) AS event_id,
-          concat(user_id, '-', strftime(ts, '%Y%m%d')) AS session_id,
+          concat(user_id, '-', strftime(ts - INTERVAL 6 HOUR, '%Y%m%d')) AS session_id,
           CAST(user_id AS VARCHAR) AS user_id,
           CASE event_type WHEN 'view' THEN 'Page_View' WHEN 'click' THEN 'product_click'
             WHEN 'signup' THEN 'add_to_cart ' WHEN 'error' THEN 'checkout'
@@ -193,13 +195,13 @@ TABLES = {
         SELECT s.event_date, s.event_hour, active_users, purchases, avg_session_duration,
           total_events, CAST(bounces AS DOUBLE) / active_users AS bounce_rate
         FROM (SELECT CAST(starts AS DATE) AS event_date, CAST(hour(starts) AS INTEGER) AS event_hour,
-            count(DISTINCT session_id) AS active_users,
+            count(*) AS active_users,
             count(*) FILTER (bought) AS purchases, count(*) FILTER (n = 1) AS bounces,
             {half_up("sum(secs)", "count(*)", 2)} AS avg_session_duration
           FROM (SELECT session_id, min(event_timestamp) AS starts,
               max(session_duration_seconds) AS secs, min(session_event_count) AS n,
               bool_or(event_type = 'purchase') AS bought
-            FROM events_silver GROUP BY 1) GROUP BY 1, 2) s
+            FROM events_silver GROUP BY session_id, partition_date) GROUP BY 1, 2) s
         LEFT JOIN (SELECT CAST(event_timestamp AS DATE) AS event_date,
             CAST(hour(event_timestamp) AS INTEGER) AS event_hour, count(*) AS total_events
           FROM events_silver GROUP BY 1, 2) e USING (event_date, event_hour)""",
@@ -227,6 +229,25 @@ TABLES = {
 }
 
 
+# The orders of all years moved into one season, and what is built from them.
+_SEASON = f"{SEASON_DAYS} * 86400000000"
+_START = f"epoch_us(TIMESTAMP '{SEASON_START}')"
+_SEASON_TIME = f"make_timestamp((epoch_us(order_timestamp) - {_START}) % ({_SEASON}) + {_START})"
+TABLES["season_now"] = f"""
+    SELECT * EXCLUDE (moved) REPLACE (moved AS order_timestamp, moved AS created_at,
+        moved + (updated_at - order_timestamp) AS updated_at,
+        strftime(moved + (updated_at - order_timestamp), '%Y-%m-%d') AS partition_date)
+    FROM (SELECT *, {_SEASON_TIME} AS moved FROM orders_now)"""
+for _name, _of in (
+    ("sales", "orders_now"),
+    ("rfm", "orders_now"),
+    ("scores", "rfm"),
+    ("segments", "scores"),
+):
+    _from = "season_now" if _of == "orders_now" else f"season_{_of}"
+    TABLES[f"season_{_name}"] = re.sub(rf"\b{_of}\b", _from, TABLES[_name])
+
+
 def _with_tables(select: str) -> str:
     """Put the tables a select needs in front of it, each after those it needs itself."""
     needed: list[str] = []
@@ -484,7 +505,7 @@ _SQL = {
           epoch_us(max(event_timestamp) OVER w) // 1000000
             - epoch_us(min(event_timestamp) OVER w) // 1000000 AS session_duration_seconds,
           bool_or(event_type = 'purchase') OVER w AS is_conversion
-        FROM events_timely WINDOW w AS (PARTITION BY session_id)""",
+        FROM events_timely WINDOW w AS (PARTITION BY session_id, partition_date)""",
     "silver_events": "SELECT * FROM events_silver",
     "gold_daily_sales": "SELECT * FROM sales",
     "gold_daily_sales_day": f"SELECT * FROM sales WHERE order_date = DATE '{ORDER_DAY}'",
@@ -579,6 +600,30 @@ _SQL = {
     "job_change_feed": "SELECT * EXCLUDE (ingested_at) FROM ("
     + one_by("customer_id, partition_date", LATEST, "customers_std")
     + ")",
+    "stream_mixed_landing": "SELECT partition_date, event_id, count(*) AS n FROM events_sent GROUP BY 1, 2",
+    "current_orders": "SELECT * EXCLUDE (ingested_at) FROM season_now",
+    "job_orders_run": "SELECT * FROM season_sales",
+    "job_segments": "SELECT * FROM season_segments",
+    "job_clickstream_run": "SELECT * FROM traffic",
+    "job_funnel_alerts": alerts(0.1, 2, 0.4),
+    "report_from_views": f"""
+        SELECT product_id, CAST({PURCHASES} AS BIGINT) AS purchases,
+          CAST({CARTS} AS BIGINT) AS carts,
+          {mean_rate("view_to_purchase_rate")} AS avg_view_to_purchase_rate,
+          {mean_rate("cart_abandonment_rate")} AS avg_cart_abandonment_rate
+        FROM funnel WHERE {FROM_TO} GROUP BY 1
+        ORDER BY purchases DESC, carts DESC, product_id LIMIT 5""",
+    "dq_alert_sink": f"""
+        SELECT check_name AS alert_type, table_name, message AS alert_message,
+          message AS payload_message, CAST(threshold_value AS VARCHAR) AS payload_threshold
+        FROM ({union(FUNNEL_SUITE)}) WHERE NOT passed""",
+    "dq_failure_alert": """
+        SELECT 'CRITICAL' AS severity, 'pipeline_failure' AS alert_type,
+          concat('probe failed: ', count(*), ' orders') AS alert_message FROM orders_now""",
+    "dq_report": f"""
+        SELECT table_name, bool_and(passed) AS passed, count(*) AS total_checks,
+          count(*) FILTER (passed) AS passed_checks, count(*) FILTER (NOT passed) AS failed_checks
+        FROM ({union(FUNNEL_SUITE)}) GROUP BY 1""",
     "job_clickstream_day": f"SELECT * FROM traffic WHERE event_date = DATE '{EVENT_DAY}'",
 }
 
@@ -618,6 +663,11 @@ _SHOWN = {
     "order_totals_rollup": ("total_amount",),
     "sink_replace_slice": ("event_date",),
     "job_clickstream_day": ("event_date",),
+    "job_clickstream_run": ("event_date",),
+    "job_funnel_alerts": ("event_date",),
+    "job_orders_run": _SALES,
+    "job_segments": _RFM,
+    "current_orders": ("total_amount",),
 }
 
 

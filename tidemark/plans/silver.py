@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tidemark.operators import drop_late, keep_one_by_key, standardise, with_session_metrics
+from tidemark.session import staged
 from tidemark.spec import EVENTS, SILVER_EVENT_SCHEMA, SLICE, TableSpec
 
 
@@ -34,6 +35,11 @@ def timely_events(bronze: DataFrame) -> DataFrame:
 
 
 def to_silver_events(bronze: DataFrame) -> DataFrame:
-    """Finished Silver events. A session is what one slice holds of it."""
-    with_metrics = with_session_metrics(timely_events(bronze), ["session_id", SLICE])
+    """Finished Silver events. A session is what one slice holds of it.
+
+    The events are staged once their copies are gone, so that is done a single time for
+    the metrics and for the rows they are joined to.
+    """
+    events = staged(timely_events(bronze), "timely-events")
+    with_metrics = with_session_metrics(events, ["session_id", SLICE])
     return with_metrics.select(SILVER_EVENT_SCHEMA.names)

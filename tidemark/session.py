@@ -68,8 +68,40 @@ def _local_folder(_application_id: str) -> str:
     return tempfile.mkdtemp(prefix="tidemark-")
 
 
+# What this process staged, by application.
+_STAGED: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_staged(spark: SparkSession) -> int:
+    """Delete what this session has staged; returns the number of folders.
+
+    Frames that read from staged folders are of no use afterwards, so it is for the caller
+    to say when: after a run's results are written.
+    """
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    return sum(remove(spark, path) for path in paths)
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _folder(spark, path)
+    return bool(fs.exists(folder))
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of a table; a step of the file system, no job."""
+    fs, folder = _folder(spark, path)
+    return bool(fs.exists(folder) and fs.delete(folder, True))
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -85,11 +117,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 @contextmanager
 def staging(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """As `staged`, for rows that are of no use after the block: the files are emptied."""
+    """As `staged`, for rows that are of no use after the block: the files go."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+        remove(spark, path)

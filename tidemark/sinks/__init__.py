@@ -1,9 +1,19 @@
 from tidemark.sinks.tables import (
+    BATCH,
     append_counted,
     append_observed,
+    land_batch,
     replace_slice,
     replace_slices,
     replace_table,
 )
 
-__all__ = ["append_counted", "append_observed", "replace_slice", "replace_slices", "replace_table"]
+__all__ = [
+    "BATCH",
+    "append_counted",
+    "append_observed",
+    "land_batch",
+    "replace_slice",
+    "replace_slices",
+    "replace_table",
+]

@@ -14,8 +14,37 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemark.session import exists, remove
 from tidemark.spec import SLICE
 
+# Second level of folders of a landed table: which batch brought the rows.
+BATCH = "batch"
+
+
+def land_batch(
+    df: DataFrame, path: str, label: str, partition_by: str = SLICE, **metrics: Column
+) -> dict[str, Any]:
+    """Make ``df`` the rows of batch ``label`` of a landed table; counts as `append_observed`.
+
+    Each batch has a folder of its own in every slice, so one that is landed again
+    replaces itself and never repeats its rows. All writers of a landed table, bounded,
+    continuous and batch, go this way. A folder with the log of a streaming file sink is
+    refused: readers would only see what that log names.
+    """
+    if exists(df.sparkSession, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} has a streaming sink's log, which hides other writers' rows")
+    seen = Observation()
+    aggregates = {"rows": F.count(F.lit(1)), **metrics}
+    out = df.withColumn(BATCH, F.lit(label)).hint("rebalance", F.col(partition_by))
+    (
+        out.observe(seen, *[agg.alias(name) for name, agg in aggregates.items()])
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_by, BATCH)
+        .parquet(path)
+    )
+    return {name: seen.get[name] for name in aggregates}
+
 
 def append_observed(
     df: DataFrame, path: str, partition_by: str | None = SLICE, **metrics: Column
@@ -55,9 +84,7 @@ def replace_slices(df: DataFrame, path: str, column: str, values: Sequence[str])
         )
     )
     seen = Observation()
-    out = df.withColumn(column, inside)
-    if len(values) > 1:
-        out = out.hint("rebalance", F.col(column))
+    out = df.withColumn(column, inside).hint("rebalance", F.col(column))
     (
         out.observe(
             seen, F.count(F.lit(1)).alias("rows"), F.collect_set(column).alias("written")
@@ -68,9 +95,8 @@ def replace_slices(df: DataFrame, path: str, column: str, values: Sequence[str])
         .parquet(path)
     )
     # Dynamic overwrite does not touch slices it has no rows for.
-    nothing = df.sparkSession.createDataFrame([], df.drop(column).schema)
     for value in sorted(set(values) - set(seen.get["written"])):
-        nothing.write.mode("overwrite").parquet(f"{path}/{column}={value}")
+        remove(df.sparkSession, f"{path}/{column}={value}")
     return int(seen.get["rows"])
 
 

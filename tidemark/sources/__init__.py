@@ -4,6 +4,7 @@ from tidemark.sources.tables import (
     read_bronze,
     read_change_source,
     read_slice,
+    read_slices,
     read_table,
     register_gold_views,
     with_audit,
@@ -17,6 +18,7 @@ __all__ = [
     "read_change_source",
     "read_events",
     "read_slice",
+    "read_slices",
     "read_table",
     "register_gold_views",
     "with_audit",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import utc_date
+from tidemark.session import exists
 from tidemark.spec import SLICE
 
 
@@ -25,12 +26,10 @@ def read_table(
     reader = spark.read.format(format)
     if schema is None:
         return reader.load(path)
-    try:
-        return reader.schema(schema).load(path)
-    except AnalysisException as error:
-        if _is_missing(error):
-            return spark.createDataFrame([], schema)
-        raise
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    # Folders may have more levels than the schema has columns, as landed tables do.
+    return reader.schema(schema).load(path).select(schema.names)
 
 
 def read_bronze(
@@ -55,8 +54,24 @@ def read_slice(
     column: str = SLICE,
     format: str = "parquet",
 ) -> DataFrame:
-    """One slice of a partitioned table; only its folder is listed and read."""
-    return read_table(spark, path, schema, format).filter(F.col(column) == F.lit(value))
+    return read_slices(spark, path, schema, [value], column, format)
+
+
+def read_slices(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    values: Sequence[str],
+    column: str = SLICE,
+    format: str = "parquet",
+) -> DataFrame:
+    """Some slices of a partitioned table; only their folders are listed and read."""
+    folders = [f"{path}/{column}={value}" for value in dict.fromkeys(values)]
+    there = [folder for folder in folders if exists(spark, folder)]
+    if not there:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.format(format).schema(schema).option("basePath", path)
+    return reader.load(there).select(schema.names)
 
 
 def read_change_source(

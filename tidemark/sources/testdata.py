@@ -187,8 +187,11 @@ def events(events_table: DataFrame) -> DataFrame:
     source = F.expr("CASE user_id % 2 WHEN 0 THEN 'Organic ' ELSE 'paid' END")
     return events_table.select("*", _versions(F.col("event_id") % 33 == 0)).select(
         F.col("event_id").cast("string").alias("event_id"),
+        # A user's session lasts from six to six, so it crosses midnight.
         F.concat(
-            F.col("user_id"), F.lit("-"), F.replace(utc_date(ts), F.lit("-"), F.lit(""))
+            F.col("user_id"),
+            F.lit("-"),
+            F.replace(utc_date(ts - F.expr("INTERVAL 6 HOURS")), F.lit("-"), F.lit("")),
         ).alias("session_id"),
         F.col("user_id").cast("string").alias("user_id"),
         event_type.alias("event_type"),

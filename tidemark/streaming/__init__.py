@@ -1,6 +1,7 @@
-from tidemark.streaming.ingest import ingest_available, write_stream
+from tidemark.streaming.ingest import ingest_available, landed_slices, write_stream
 from tidemark.streaming.silver import (
     dedup_stream,
+    refresh_landed,
     refresh_silver_events,
     stream_silver_events,
     timely_stream,
@@ -9,6 +10,8 @@ from tidemark.streaming.silver import (
 __all__ = [
     "dedup_stream",
     "ingest_available",
+    "landed_slices",
+    "refresh_landed",
     "refresh_silver_events",
     "stream_silver_events",
     "timely_stream",

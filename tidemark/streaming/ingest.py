@@ -1,18 +1,59 @@
-"""Landing an event stream in Bronze."""
+"""Landing an event stream in Bronze, through one writer for all kinds of runs."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import zlib
+from collections.abc import Callable, Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.spec import SLICE
+from tidemark.sinks import land_batch
+from tidemark.sources import read_table
+from tidemark.spec import SLICE, schema_of
 
 CONTINUOUS: Mapping[str, Any] = {"processingTime": "30 seconds"}
 BOUNDED: Mapping[str, Any] = {"availableNow": True}
 
+_LANDED = schema_of("slice string, batch string")
+
+
+def landed_log(path: str) -> str:
+    """Where it is noted which slices a batch of the landed table brought rows for."""
+    return f"{path.rstrip('/')}_landed"
+
+
+def land(batch: DataFrame, path: str, label: str, partition_by: str = SLICE) -> list[str]:
+    """Land one batch, note its slices, and return them. Again is as once."""
+    seen = land_batch(batch, path, label, partition_by, slices=F.collect_set(partition_by))
+    spark, slices = batch.sparkSession, sorted(seen["slices"])
+    noted = spark.createDataFrame([(s,) for s in slices], "slice string")
+    noted.coalesce(1).write.mode("overwrite").parquet(f"{landed_log(path)}/batch={label}")
+    return slices
+
+
+def landed_slices(spark: SparkSession, path: str) -> DataFrame:
+    """(slice, batch) of everything landed."""
+    return read_table(spark, landed_log(path), _LANDED)
+
+
+def lander(
+    path: str, checkpoint: str, partition_by: str = SLICE, then: Callable[[SparkSession, int], None] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """What a stream does with each micro-batch. Batches are known by the feed, which is
+    its checkpoint, and their number, so a batch that is run again replaces itself and
+    several feeds can land in one table."""
+    feed = zlib.crc32(checkpoint.rstrip("/").encode())
+
+    def work(batch: DataFrame, number: int) -> None:
+        land(batch, path, f"b{feed:08x}-{number}", partition_by)
+        if then:
+            then(batch.sparkSession, number)
+
+    return work
+
 
 def write_stream(
     df: DataFrame,
@@ -21,17 +62,15 @@ def write_stream(
     trigger: Mapping[str, Any] = CONTINUOUS,
     partition_by: str = SLICE,
 ) -> StreamingQuery:
-    """Start appending a stream to a Parquet table.
+    """Start landing a stream in a Parquet table.
 
     Offsets live in ``checkpoint``. Continuous and bounded runs of one feed share
     it, else each would take everything in for itself.
     """
     return (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
+        df.writeStream.outputMode("append")
+        .foreachBatch(lander(path, checkpoint, partition_by))
         .option("checkpointLocation", checkpoint)
-        .partitionBy(partition_by)
         .trigger(**trigger)
         .start()
     )

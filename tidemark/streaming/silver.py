@@ -6,15 +6,14 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import drop_late, standardise
 from tidemark.plans.silver import to_silver_events
-from tidemark.sinks import append_observed, replace_slices
-from tidemark.sources import read_table
-from tidemark.spec import BRONZE_EVENT_SCHEMA, EVENTS, SLICE
-from tidemark.streaming.ingest import CONTINUOUS
+from tidemark.sinks import replace_slices
+from tidemark.sources import read_slices, read_table
+from tidemark.spec import BRONZE_EVENT_SCHEMA, EVENTS, SLICE, schema_of
+from tidemark.streaming.ingest import CONTINUOUS, lander, landed_slices
 
 
 def dedup_stream(
@@ -41,33 +40,52 @@ def refresh_silver_events(
     spark: SparkSession, bronze_path: str, silver_path: str, days: Sequence[str]
 ) -> int:
     """Recompute whole Silver slices from Bronze; one job for all of them."""
-    bronze = read_table(spark, bronze_path, BRONZE_EVENT_SCHEMA)
-    wanted = bronze.filter(F.col(SLICE).isin(list(days)))
+    wanted = read_slices(spark, bronze_path, BRONZE_EVENT_SCHEMA, days)
     return replace_slices(to_silver_events(wanted), silver_path, SLICE, days)
 
 
+_DONE = schema_of("batch string")
+
+
+def refresh_landed(spark: SparkSession, bronze_path: str, silver_path: str) -> list[str]:
+    """Refresh the Silver slices of all batches landed since the last refresh; returns them.
+
+    What is done is noted after the slices are in place, so a refresh that breaks off is
+    made up for by the next one.
+    """
+    done_path = f"{silver_path.rstrip('/')}_refreshed"
+    done = read_table(spark, done_path, _DONE)
+    new = landed_slices(spark, bronze_path).join(done, "batch", "left_anti")
+    rows = new.collect()
+    days = sorted({row.slice for row in rows})
+    if days:
+        refresh_silver_events(spark, bronze_path, silver_path, days)
+        batches = sorted({(row.batch,) for row in rows})
+        spark.createDataFrame(batches, _DONE).coalesce(1).write.mode("append").parquet(done_path)
+    return days
+
+
 def stream_silver_events(
     parsed: DataFrame,
     bronze_path: str,
     silver_path: str,
     checkpoint: str,
     trigger: Mapping[str, Any] = CONTINUOUS,
+    refresh_every: int = 20,
 ) -> StreamingQuery:
-    """Append each micro-batch to Bronze and refresh the Silver slices it touches.
+    """Land each micro-batch, and after every ``refresh_every`` of them refresh the Silver
+    slices touched since the last time.
 
-    A batch that is run again after a failure appends its rows again; Silver drops
-    the copies, so it ends up the same. Only the dates of a batch reach the driver.
+    Landing never rewrites a day; the work of refreshing is that of ``refresh_every`` batches
+    at once. What a run leaves open when it ends is done by `refresh_landed`.
     """
 
-    def refresh(batch: DataFrame, _batch_id: int) -> None:
-        landed = append_observed(batch, bronze_path, SLICE, days=F.collect_set(SLICE))
-        if landed["days"]:
-            refresh_silver_events(
-                batch.sparkSession, bronze_path, silver_path, sorted(landed["days"])
-            )
+    def refresh(spark: SparkSession, number: int) -> None:
+        if (number + 1) % refresh_every == 0:
+            refresh_landed(spark, bronze_path, silver_path)
 
     return (
-        parsed.writeStream.foreachBatch(refresh)
+        parsed.writeStream.foreachBatch(lander(bronze_path, checkpoint, SLICE, refresh))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
