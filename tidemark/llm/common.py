@@ -61,9 +61,12 @@ def values(spark: SparkSession, columns: str, rows: Iterable[tuple]) -> DataFram
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:
-    """As `staged`, written by at most four tasks per core: for tables with a row per node
-    or link, where as many files as there are shuffle partitions would be mostly overhead."""
-    return staged(df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism), label)
+    """As `staged`, but by an eighth of the shuffle partitions (four tasks per core at least):
+    for tables with a few numbers per node or link, where as many files as there are
+    partitions for the texts would be mostly overhead."""
+    spark = df.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) // 8
+    return staged(df.coalesce(max(4 * spark.sparkContext.defaultParallelism, tasks)), label)
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
