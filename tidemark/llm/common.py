@@ -55,7 +55,8 @@ def values(spark: SparkSession, columns: str, rows: Iterable[tuple]) -> DataFram
     kinds = [c.split()[1] for c in columns.split(",")]
     cells = ", ".join("(" + ", ".join(map(repr, row)) + ")" for row in rows)
     if not cells:
-        return spark.createDataFrame([], columns)
+        nulls = [F.lit(None).cast(k).alias(n) for n, k in zip(names, kinds, strict=True)]
+        return spark.range(0).select(*nulls)
     raw = spark.sql(f"SELECT * FROM VALUES {cells} AS t({', '.join(names)})")
     return raw.select(*[F.col(n).cast(k).alias(n) for n, k in zip(names, kinds, strict=True)])
 
