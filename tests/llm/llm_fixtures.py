@@ -1,3 +1,5 @@
+"""Fixtures of these tests; in no conftest, whose name the tests above use."""
+
 from __future__ import annotations
 
 from collections.abc import Callable
@@ -7,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import ready
 
-LONG = "word " * 60_000
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -1,5 +1,7 @@
 import random
 
+from llm_fixtures import docs_of, llm  # noqa: F401
+
 from tidemark.llm import decontamination as d
 
 

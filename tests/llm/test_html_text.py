@@ -1,5 +1,7 @@
 import pytest
 
+from llm_fixtures import llm  # noqa: F401
+
 from tidemark.llm import html_text as h
 
 PAGE = """<!DOCTYPE html><html><head><title>Name of the site</title><style>p{{margin:0}}</style>

@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 
+from llm_fixtures import docs_of, llm  # noqa: F401
+
 from tidemark.llm import language
 from tidemark.llm.common import fold
 from tidemark.llm.text import text_bytes

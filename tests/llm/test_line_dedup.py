@@ -1,5 +1,7 @@
 import random
 
+from llm_fixtures import docs_of, llm  # noqa: F401
+
 from tidemark.llm.line_dedup import common_lines, patience, without_common_lines
 
 A = "this is a line of more than five words"

@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from llm_fixtures import docs_of, llm  # noqa: F401
+
 from tidemark.llm.mixing import mixed, rake
 
 

@@ -4,6 +4,8 @@ import re
 import numpy as np
 import pytest
 
+from llm_fixtures import docs_of, llm  # noqa: F401
+
 from tidemark.llm import ngram_join as nj
 from tidemark.llm.groups import Sets
 from tidemark.llm.ngram_join import Bands, Threshold, join_across, join_within, ngram_components

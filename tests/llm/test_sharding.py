@@ -4,6 +4,8 @@ from collections import Counter, defaultdict
 
 from conftest import plan_of
 
+from llm_fixtures import docs_of, llm  # noqa: F401
+
 from tidemark.llm import sharding
 from tidemark.llm.sharding import shard_by_bytes
 

@@ -2,6 +2,8 @@ from pathlib import Path
 
 import pytest
 
+from llm_fixtures import docs_of, llm  # noqa: F401
+
 from tidemark.llm import token_counts as tc
 from tidemark.session import scratch_path
 

@@ -5,6 +5,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs_of, llm  # noqa: F401
+
 from tidemark.llm import toxicity as tx
 
 

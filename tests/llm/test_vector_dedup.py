@@ -3,6 +3,8 @@ import math
 import numpy as np
 import pytest
 
+from llm_fixtures import llm  # noqa: F401
+
 from tidemark.llm import vector_dedup as vd
 from tidemark.llm.vector_dedup import Hashing, vector_links
 
