@@ -11,6 +11,7 @@ PAGE = """<!DOCTYPE html><html><head><title>Name of the site</title><style>p{{ma
 {article}
 <aside class="sidebar">Read what others read today</aside>
 <section id="comments"><p>First comment of many, and a long one it is indeed, longer than the text</p></section>
+<ul><li><a href="/t">tag one</a></li><li><a href="/u">tag two</a></li></ul>
 <form><label>Mail</label><button>Send</button></form><footer>&copy; 2024 all rights</footer></body></html>"""
 TEXT = "<article><h1>A &amp; B</h1><p>One <b>bold</b>ly   told\n story.<br>It goes&nbsp;on.</p><p>Second part &lt;x&gt;.</p></article>"
 CLEAN = "A & B One boldly told story. It goes on. Second part <x>."

@@ -135,7 +135,7 @@ class Weights:
     unknown: float
 
     def of(self, e: Event) -> float:
-        if e.apart and not e.bars:
+        if e.apart:
             return 0.0
         if not e.kind:
             return self.word * e.words
@@ -198,7 +198,7 @@ def _count_tags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             region = labelled_region(found)
             if region:
                 for k, e in enumerate(found):
-                    if e.kind and (not e.apart or e.bars):
+                    if e.kind and not e.apart:
                         (inside if region[0] <= k < region[1] else outside)[e.kind] += 1
         for which, counts in ((1, inside), (0, outside)):
             yield pa.RecordBatch.from_arrays(
@@ -217,7 +217,7 @@ def fit(pages: DataFrame, column: str = "html") -> Weights:
     A tag costs the logarithm of how much oftener it stands outside than inside articles,
     `LEAST_COST` at least, so tags of articles cost little and those of menus much. The
     weight of a word is the one of `WORD_WEIGHTS` under which the scan finds the marked
-    articles best. Without a labelled page the weights are `DEFAULT`.
+    articles best, the middle one of equals. Without a labelled page the weights are `DEFAULT`.
     """
     marked = pages.select(F.col(column).alias("html")).filter(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
     n = marked.count()
@@ -235,7 +235,9 @@ def fit(pages: DataFrame, column: str = "html") -> Weights:
     tried = [Weights(w, tags, unknown) for w in WORD_WEIGHTS]
     errors = drawn.mapInArrow(_errors(tried), "k int, missed long").groupBy("k").agg(F.sum("missed"))
     missed = dict(errors.collect())
-    return min(enumerate(tried), key=lambda kw: (missed.get(kw[0], 0), kw[0]))[1]
+    least = min(missed.get(k, 0) for k in range(len(tried)))
+    best = [w for k, w in enumerate(tried) if missed.get(k, 0) == least]
+    return best[len(best) // 2]
 
 
 def _errors(tried: list[Weights]):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,6 @@ def classes(text: Column) -> Column:
 
 def vocabulary(path: str) -> Counter:
     """Tokens by a tokenizer file (``tokenizers`` JSON) that every executor has at ``path``."""
-    import pandas as pd
 
     @F.pandas_udf("long")
     def count(text: pd.Series) -> pd.Series:
