@@ -98,8 +98,16 @@ def test_edge_cases(llm, docs_of, net):
     assert {r.windows for r in rows if r.doc_id in (None, 1, 2, 3)} == {0}
     assert len({r.score for r in rows if r.doc_id == 4}) == 1
     assert tx.score(docs_of([]), net).count() == 0
-    labelled = llm.createDataFrame([], "text string, toxic int")
-    nothing = tx.fit(labelled)
+    labels = "doc_id long, toxic int"
+    nothing = tx.fit(df, llm.createDataFrame([], labels))
     assert all(r.score < 1e-5 for r in tx.score(df, nothing).collect())
-    odd = llm.createDataFrame([(None, 1), ("a", None), (None, 0)], "text string, toxic int")
-    assert tx.score(df, tx.fit(odd)).agg(F.count("score")).first()[0] == len(docs)
+    odd = llm.createDataFrame([(1, 1), (None, 1), (2, None), (3, 0), (4, 1), (77, 0), (5, 7)], labels)
+    assert tx.score(df, tx.fit(df.drop("toxic"), odd)).agg(F.count("score")).first()[0] == len(docs)
+
+
+def test_fit_on_tables(llm):
+    rows = corpus(400, 5)
+    docs = llm.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = llm.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    found = tx.score(docs.join(labels, "doc_id"), tx.fit(docs, labels)).collect()
+    assert sum((r.score >= tx.THRESHOLD) == bool(r.toxic) for r in found) >= 0.9 * len(rows)

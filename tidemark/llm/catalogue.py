@@ -66,7 +66,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     held_out = fold("doc_id", 3) == 1
-    net = toxicity.fit(docs.join(labels.filter(~held_out), "doc_id"))
+    net = toxicity.fit(docs, labels.filter(~held_out))
     told = toxicity.score(docs, net)
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
     return told.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"), "windows")

@@ -193,24 +193,30 @@ def windows_of(first: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.nda
     return found, size, text
 
 
-def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic") -> Network:
+def fit(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic"
+) -> Network:
     """A network fitted on a bounded sample: about `FIT_TOXIC` toxic and `FIT_CLEAN` clean
-    texts, drawn by a hash of the text, whole. Rows without a label are passed over.
+    labels, drawn by a hash of the id, with their whole texts. The sample is drawn before it
+    meets the texts, so those are not shuffled. Labels without an id or other than 0 and 1, and ids without
+    a document, are passed over; a null text counts as the empty one.
 
     Word and part vectors start from their log-odds between the classes. As labels are of
     texts, each round takes the windows of toxic texts that score highest as toxic, and
     of clean texts those that score highest and one more. A fifth of the sample is held back to set how the
     highest window's score becomes the text's.
     """
-    known = labelled.select(F.coalesce(text, F.lit("")).alias("text"), F.col(toxic).cast("int").alias("toxic"))
-    known = known.filter("toxic IN (0, 1)")
+    known = labels.select(F.col(doc_id).alias("id"), F.col(toxic).cast("int").alias("toxic"))
+    known = known.filter("toxic IN (0, 1) AND id IS NOT NULL")
     sizes = dict(known.groupBy("toxic").count().collect())
     rate = F.when(F.col("toxic") == 1, FIT_TOXIC / max(sizes.get(1, 0), 1)).otherwise(
         FIT_CLEAN / max(sizes.get(0, 0), 1)
     )
-    drawn = known.filter(share("text", seed=2) < rate).toPandas()
-    drawn = drawn.sort_values(["text", "toxic"], ignore_index=True)
-    return train(drawn.text.tolist(), drawn.toxic.to_numpy(), sizes.get(1, 0), sizes.get(0, 0))
+    drawn = known.filter(share("id", seed=2) < rate)
+    own = docs.select(F.col(doc_id).alias("own"), F.coalesce(text, F.lit("")).alias("text"))
+    met = own.join(F.broadcast(drawn), F.col("own") == F.col("id")).select("text", "toxic").toPandas()
+    met = met.sort_values(["text", "toxic"], ignore_index=True)
+    return train(met.text.tolist(), met.toxic.to_numpy(), sizes.get(1, 0), sizes.get(0, 0))
 
 
 def train(texts: list[str], toxic: np.ndarray, n_toxic: int, n_clean: int) -> Network:
