@@ -43,7 +43,7 @@ from tidemark.quality.suites import (
     PRODUCT_FUNNEL_SUITE,
     constraint_suites,
 )
-from tidemark.session import exists, scratch_path, staged, tune
+from tidemark.session import exists, folder_bytes, scratch_path, staged, tune
 from tidemark.sinks import append_counted, replace_slices
 from tidemark.sources import parse_events, read_events, read_table, register_gold_views
 from tidemark.sources import testdata as td
@@ -91,7 +91,8 @@ def _plain(df: DataFrame) -> DataFrame:
 def query(run: Query) -> Query:
     @functools.wraps(run)
     def ready(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _plain(run(tune(spark), sf_dir))
+        # No query shuffles more than its tables hold, decompressed.
+        return _plain(run(tune(spark, 3 * folder_bytes(spark, sf_dir)), sf_dir))
 
     _QUERIES[run.__name__] = ready
     return run

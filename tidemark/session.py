@@ -93,6 +93,12 @@ def _folder(spark: SparkSession, path: str):
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder; a step of the file system, no job."""
+    fs, folder = _folder(spark, path)
+    return int(fs.getContentSummary(folder).getLength()) if fs.exists(folder) else 0
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, folder = _folder(spark, path)
     return bool(fs.exists(folder))
