@@ -30,6 +30,23 @@ def test_blocks_without_a_telling_line_stay():
     assert common_lines([7, 1, 2, 3, 8], [False, False, True, False, False], [1, 2, 3]) == [1, 2, 3]
 
 
+def test_moved_and_repeated_lines_go():
+    telling = [True] * 3
+    assert patience([1, 2, 1, 2], [3, 1, 2, 1, 4, 2]) == [(0, 1), (1, 2), (2, 3), (3, 5)]
+    assert common_lines([1, 2, 3], telling, [3, 2, 1]) == [0, 1, 2]
+    assert common_lines([8, 1, 9, 1, 7, 1], [False, True, False, True, False, True], [5, 1, 6]) == [1, 3, 5]
+    rng = random.Random(2)
+    for _ in range(300):
+        a, b = ([rng.randint(0, 7) for _ in range(rng.randint(0, 12))] for _ in range(2))
+        got = common_lines(a, [x > 2 for x in a], b)
+        assert {i for i, x in enumerate(a) if x > 2 and x in b} == {i for i in got if a[i] > 2}
+
+
+def test_no_telling_line_of_an_earlier_document_is_left(docs_of):
+    docs = [(1, f"{A}\n{B}\nhere\n{C}"), (2, f"{C}\nx\n{B}\ny\n{A}\nz\n{B}\nmy own words"), (3, f"{A}\nu\n{A}\nv")]
+    assert {i: t for (i, _), t in cleaned(docs_of(docs)).items()} == {1: docs[0][1], 2: "x\ny\nz\nmy own words", 3: "u\nv"}
+
+
 def test_common_blocks_go_from_the_later_document(docs_of):
     docs = [
         (5, f"own words of five\n{A}\nshort\n{B}\nthe end"),

@@ -6,10 +6,12 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.text import blocks_of
 from tidemark.session import staged
 
 # A line of fewer words is no reason to compare documents, nor to delete a block.
@@ -39,9 +41,18 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _in_turn(a: list[int], i: int, m: int, b: list[int], j: int, n: int) -> list[tuple[int, int]]:
+    """Positions of equal lines in two ranges, paired in the order they come in."""
+    places: dict[int, list[int]] = {}
+    for q in range(n - 1, j - 1, -1):
+        places.setdefault(b[q], []).append(q)
+    return [(p, places[a[p]].pop()) for p in range(i, m) if places.get(a[p])]
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned positions of equal lines, rising in both: common heads and tails, then lines
-    that are unique on both sides, and the same again between those."""
+    that are unique on both sides, and the same again between those. Where none is unique,
+    the first of a line on one side meets the first on the other, the second the second."""
     found: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
@@ -57,7 +68,7 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         ours, theirs = Counter(a[i:m]), Counter(b[j:n])
         place = {line: q for q, line in enumerate(b[j:n], j) if theirs[line] == 1}
         unique = [(p, place[x]) for p, x in enumerate(a[i:m], i) if ours[x] == 1 and x in place]
-        anchors = _rising(unique)
+        anchors = _rising(unique or _in_turn(a, i, m, b, j, n))
         if not anchors:
             continue
         found.extend(anchors)
@@ -67,17 +78,31 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def common_lines(a: list[int], telling: list[bool], b: list[int]) -> list[int]:
-    """Positions in ``a`` of the aligned blocks that have a telling line in them."""
-    out: list[int] = []
+def common_lines(a: list[int], weights: list[int], b: list[int], least: int = 1) -> list[int]:
+    """Positions in ``a`` of the blocks of ``least`` weight that ``b`` has too.
+
+    First the blocks that patience aligns. An alignment rises on both sides and takes a line
+    of ``b`` once, so what comes in another order or more often is sought after that, by
+    `blocks_of`, without regard to where it stands in ``b``. Lines of weight 0 go along in
+    aligned blocks and inside of others.
+    """
+    out: set[int] = set()
     block: list[tuple[int, int]] = []
     for pair in [*patience(a, b), (-9, -9)]:
         if block and pair != (block[-1][0] + 1, block[-1][1] + 1):
-            if any(telling[i] for i, _ in block):
-                out.extend(i for i, _ in block)
+            if sum(weights[i] for i, _ in block) >= least:
+                out.update(i for i, _ in block)
             block = []
         block.append(pair)
-    return out
+    weight = dict(zip(a, weights, strict=True))
+    if any(w and i not in out for i, w in enumerate(weights)):
+        # A line that ``a`` does not have ends every common block.
+        theirs = blocks_of(np.array(b, np.int64), np.array([weight.get(x, least) for x in b], np.int64), least)
+        starts, ends, keys = blocks_of(np.array(a, np.int64), np.array(weights, np.int64), least)
+        common = np.isin(keys, theirs[2])
+        for i, m in zip(starts[common].tolist(), ends[common].tolist(), strict=True):
+            out.update(range(i, m))
+    return sorted(out)
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +136,9 @@ def without_common_lines(
     every such line is compared with its first place. The two documents are aligned by
     patience diff, where lines that are unique on both sides (the rare ones) are the
     anchors, and each aligned block with a line of ``least_words`` words goes from the
-    later document, short lines in it included.
+    later document, short lines in it included. Lines of ``least_words`` words that are not
+    aligned, as they come in another order or more often, go too: none is left that an
+    earlier document has.
 
     A null id or text keeps its row as it is, with 0 removed; a null text has no lines and
     an empty one has one. Repeated rows are one document and lose the same lines. A

@@ -122,3 +122,31 @@ def shingle_sets(found: Words, size: int) -> list[np.ndarray]:
         else:
             sets.append(np.zeros(0, dtype=np.uint64))
     return sets
+
+
+def blocks_of(
+    lines: np.ndarray, weights: np.ndarray, least: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the smallest blocks of lines that weigh ``least`` together.
+
+    From each line that has a weight the block that starts with it and the one that ends with
+    it, if there are such. So any longer run of that weight is made up of blocks: a line that
+    is in neither block of its own is inside of the one from the run's first line. Lines of
+    weight 0 are in no hash.
+    """
+    at = np.flatnonzero(weights)
+    n = len(at)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0, np.uint64)
+    power, inverse = _both_powers(n + 1)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(lines[at].view(np.uint64) * power[:n], out=sums[1:])
+    upto = np.concatenate([[0], np.cumsum(weights[at])])
+    forward = np.searchsorted(upto, upto[:-1] + least)  # one behind the block's last line
+    backward = np.searchsorted(upto, upto[1:] - least, side="right") - 1
+    i, j = np.flatnonzero(forward <= n), np.flatnonzero(backward >= 0)
+    starts = np.concatenate([i, backward[j]])
+    ends = np.concatenate([forward[i], j + 1])
+    keys = mix((sums[ends] - sums[starts]) * inverse[starts])
+    return at[starts], at[ends - 1] + 1, keys
