@@ -47,6 +47,37 @@ def test_no_telling_line_of_an_earlier_document_is_left(docs_of):
     assert {i: t for (i, _), t in cleaned(docs_of(docs)).items()} == {1: docs[0][1], 2: "x\ny\nz\nmy own words", 3: "u\nv"}
 
 
+def test_blocks_are_all_lines_of_common_runs():
+    rng = random.Random(3)
+    weight = [0, 1, 1, 2, 3, 4, 5, 6]
+    for _ in range(300):
+        a, b = ([rng.randint(0, 7) for _ in range(rng.randint(0, 12))] for _ in range(2))
+        words = [weight[x] for x in a]
+        full = [[x for x in side if weight[x]] for side in (a, b)]
+        at = [i for i, x in enumerate(a) if weight[x]]
+        runs = {tuple(full[1][i:j]) for j in range(len(b) + 1) for i in range(j)}
+        want = set()
+        for j in range(len(at) + 1):
+            for i in range(j):
+                run = full[0][i:j]
+                if tuple(run) in runs and sum(weight[x] for x in run) >= 5:
+                    want.update(at[i:j])
+        assert {i for i in common_lines(a, words, b, 5, [weight[x] for x in b]) if words[i]} == want
+
+
+def test_short_lines_count_together(docs_of):
+    verse = "tiger tiger\nburning bright\n\nin the forests\nof\nthe night"
+    words = "\n".join(f"word{i}" for i in range(60))
+    chinese = "我们每天早上都去公园里散步"
+    thai = "ฉันไปโรงเรียนทุกวันในตอนเช้า"
+    docs = [(1, verse), (2, f"{A}\n{verse}"), (3, f"of\nthe night\n{B}\nof"), (4, words), (5, words), (6, chinese),
+            (7, f"你好\n{chinese}"), (8, f"{thai}\nx"), (9, thai), (10, f"y\n你好"), (11, "我们每天\n早上都去\n公园里"),
+            (12, "z\n我们每天\n早上都去\n公园里"), (13, "in the forests\nof\nits own")]
+    left = {i: t for (i, _), t in cleaned(docs_of(docs)).items()}
+    kept = (1, 3, 4, 6, 8, 10, 11, 13)
+    assert left == {**{i: t for i, t in docs if i in kept}, 2: A, 5: "", 7: "你好", 9: "", 12: "z"}
+
+
 def test_common_blocks_go_from_the_later_document(docs_of):
     docs = [
         (5, f"own words of five\n{A}\nshort\n{B}\nthe end"),

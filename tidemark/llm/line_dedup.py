@@ -5,19 +5,35 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import blocks_of
 from tidemark.session import staged
 
-# A line of fewer words is no reason to compare documents, nor to delete a block.
+# Neighbouring lines of fewer words are no reason to compare documents, nor to be deleted.
 LEAST_WORDS = 5
 
+# Letters and signs of scripts without spaces (Thai to Myanmar, Khmer, Tai, Javanese to Cham,
+# Chinese and Japanese with their punctuation); two of them count as a word.
+_UNSPACED = (
+    r"\x{0E00}-\x{109F}\x{1780}-\x{17FF}\x{1950}-\x{19FF}\x{1A20}-\x{1AAF}\x{1B00}-\x{1B7F}\x{2E80}-\x{312F}"
+    r"\x{3190}-\x{9FFF}\x{A980}-\x{AADF}\x{F900}-\x{FAFF}\x{FF00}-\x{FFEF}\x{20000}-\x{323AF}"
+)
+_FIRST_UNSPACED = r"[\x{0E00}-\x{10FFFF}]"
 _WORD = r"[^\x20\x09-\x0D]+"
+_WORD_OR_TWO = rf"[{_UNSPACED}]{{1,2}}|[^\x20\x09-\x0D{_UNSPACED}]+"
+
+
+def _word_count(line: Column) -> Column:
+    spaced = (F.octet_length(line) == F.char_length(line)) | ~line.rlike(_FIRST_UNSPACED)
+    return F.when(spaced, F.regexp_count(line, F.lit(_WORD))).otherwise(
+        F.regexp_count(line, F.lit(_WORD_OR_TWO))
+    )
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -78,8 +94,11 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def common_lines(a: list[int], weights: list[int], b: list[int], least: int = 1) -> list[int]:
-    """Positions in ``a`` of the blocks of ``least`` weight that ``b`` has too.
+def common_lines(
+    a: list[int], weights: list[int], b: list[int], least: int = 1, b_weights: list[int] | None = None
+) -> list[int]:
+    """Positions in ``a`` of the blocks of ``least`` weight that ``b`` has too. Without
+    ``b_weights``, lines that ``a`` does not have end every common block.
 
     First the blocks that patience aligns. An alignment rises on both sides and takes a line
     of ``b`` once, so what comes in another order or more often is sought after that, by
@@ -94,10 +113,11 @@ def common_lines(a: list[int], weights: list[int], b: list[int], least: int = 1)
                 out.update(i for i, _ in block)
             block = []
         block.append(pair)
-    weight = dict(zip(a, weights, strict=True))
     if any(w and i not in out for i, w in enumerate(weights)):
-        # A line that ``a`` does not have ends every common block.
-        theirs = blocks_of(np.array(b, np.int64), np.array([weight.get(x, least) for x in b], np.int64), least)
+        if b_weights is None:
+            known = dict(zip(a, weights, strict=True))
+            b_weights = [known.get(x, least) for x in b]
+        theirs = blocks_of(np.array(b, np.int64), np.array(b_weights, np.int64), least)
         starts, ends, keys = blocks_of(np.array(a, np.int64), np.array(weights, np.int64), least)
         common = np.isin(keys, theirs[2])
         for i, m in zip(starts[common].tolist(), ends[common].tolist(), strict=True):
@@ -105,10 +125,31 @@ def common_lines(a: list[int], weights: list[int], b: list[int], least: int = 1)
     return sorted(out)
 
 
-def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lists(column: pa.Array) -> Iterator[np.ndarray]:
+    flat = column.values.to_numpy(zero_copy_only=False)
+    at = column.offsets.to_numpy()
+    return (flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The distinct blocks of each document."""
+    for batch in batches:
+        both = zip(_lists(batch.column("lines")), _lists(batch.column("counts")), strict=True)
+        keys = [np.unique(blocks_of(lines, counts.astype(np.int64), least)[2]) for lines, counts in both]
+        at = pa.array(np.cumsum([0, *map(len, keys)]).astype(np.int32))
+        flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("print"), pa.ListArray.from_arrays(at, pa.array(flat.view(np.int64)))],
+            names=["id", "print", "keys"],
+        )
+
+
+def _align(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, prints, lines, telling, others = (batch.column(i).to_pylist() for i in range(5))
-        rows = [common_lines(*row) for row in zip(lines, telling, others, strict=True)]
+        ids, prints = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        sides = zip(*(_lists(batch.column(i)) for i in range(2, 6)), strict=True)
+        # Two documents at a time: lists of all lines of a batch would fill the memory.
+        rows = [common_lines(*(x.tolist() for x in (a, n, b)), least, m.tolist()) for a, n, b, m in sides]
         hit = [k for k, row in enumerate(rows) if row]
         yield pa.RecordBatch.from_arrays(
             [
@@ -130,15 +171,16 @@ def without_common_lines(
 
     Adds ``n_lines`` and ``n_removed`` (columns of these names are replaced). Documents are
     ordered by id, versions of one id by a hash of their text. Lines are equal if they are
-    without the white space at their ends. A line of at least ``least_words`` words that
-    several documents have leads each of them to one other, the earliest that has it: so
-    the comparisons are as many as the shared lines, however many documents share one, and
-    every such line is compared with its first place. The two documents are aligned by
-    patience diff, where lines that are unique on both sides (the rare ones) are the
-    anchors, and each aligned block with a line of ``least_words`` words goes from the
-    later document, short lines in it included. Lines of ``least_words`` words that are not
-    aligned, as they come in another order or more often, go too: none is left that an
-    earlier document has.
+    without the white space at their ends. A block is a line
+    of at least ``least_words`` words, or as few neighbouring lines as hold that many words together; two letters of a script without
+    spaces count as a word. A block that several documents have leads each of them to one
+    other, the earliest that has it: so the comparisons are as many as the shared blocks,
+    however many documents share one, and every block is compared with its first place. The
+    two documents are aligned by patience diff, where lines that are unique on both sides
+    (the rare ones) are the anchors, and each aligned run of lines with ``least_words`` words
+    goes from the later document. Blocks that are not aligned, as they come in another order or
+    more often, go too: none is left that an earlier document has. Lines without words count for
+    nothing: those between the lines of a block go with it.
 
     A null id or text keeps its row as it is, with 0 removed; a null text has no lines and
     an empty one has one. Repeated rows are one document and lose the same lines. A
@@ -154,13 +196,13 @@ def without_common_lines(
             F.col(doc_id).cast("long").alias("id"),
             F.xxhash64(body).alias("print"),
             F.transform(raw, lambda x: F.xxhash64(F.trim(x))).alias("lines"),
-            F.transform(raw, lambda x: F.regexp_count(x, F.lit(_WORD)) >= least_words).alias("telling"),
+            F.transform(raw, _word_count).alias("counts"),
         ),
         "line-hashes",
     )
     documents = sigs.dropDuplicates(["id", "print"])
-    own = F.array_distinct(F.filter("lines", lambda x, i: F.get("telling", i)))
-    places = sigs.select(F.struct("id", "print").alias("doc"), F.explode(own).alias("line"))
+    own = sigs.mapInArrow(partial(_blocks, least=least_words), "id long, print long, keys array<long>")
+    places = own.select(F.struct("id", "print").alias("doc"), F.explode("keys").alias("line"))
     first = places.groupBy("line").agg(
         F.min("doc").alias("first"), F.max("doc").alias("last")
     )
@@ -183,12 +225,12 @@ def without_common_lines(
             pairs.select(F.col("first_id").alias("id"), F.col("first_print").alias("print")).distinct(),
             ["id", "print"],
             "left_semi",
-        ).select(F.col("id").alias("i"), F.col("print").alias("p"), F.col("lines").alias("others")),
+        ).select(F.col("id").alias("i"), F.col("print").alias("p"), F.col("lines").alias("others"), F.col("counts").alias("theirs")),
         "line-earlier",
     )
     met = later.join(earlier, (F.col("first_id") == F.col("i")) & (F.col("first_print") == F.col("p")))
-    aligned = met.select("id", "print", "lines", "telling", "others").mapInArrow(
-        _align, "id long, print long, at array<int>"
+    aligned = met.select("id", "print", "lines", "counts", "others", "theirs").mapInArrow(
+        partial(_align, least=least_words), "id long, print long, at array<int>"
     )
     gone = (
         aligned.select("id", "print", F.explode("at").alias("at"))
