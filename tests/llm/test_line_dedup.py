@@ -47,6 +47,11 @@ def test_no_telling_line_of_an_earlier_document_is_left(docs_of):
     assert {i: t for (i, _), t in cleaned(docs_of(docs)).items()} == {1: docs[0][1], 2: "x\ny\nz\nmy own words", 3: "u\nv"}
 
 
+def test_white_space_at_line_ends_does_not_matter(docs_of):
+    docs = [(1, f"{A}\n{B}\n{C}"), (2, f"{A}\r\n{B}\r\nown\r\n{C}\r\n"), (3, f"\t{A}\t\n \t{B} \f\v\n{C}\t \r\nx")]
+    assert cleaned(docs_of(docs)) == {(1, 0): docs[0][1], (2, 3): "own\r\n", (3, 3): "x"}
+
+
 def test_blocks_are_all_lines_of_common_runs():
     rng = random.Random(3)
     weight = [0, 1, 1, 2, 3, 4, 5, 6]

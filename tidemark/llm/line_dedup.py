@@ -25,6 +25,7 @@ _UNSPACED = (
     r"\x{3190}-\x{9FFF}\x{A980}-\x{AADF}\x{F900}-\x{FAFF}\x{FF00}-\x{FFEF}\x{20000}-\x{323AF}"
 )
 _FIRST_UNSPACED = r"[\x{0E00}-\x{10FFFF}]"
+_SPACE = "\x20\t\n\v\f\r"
 _WORD = r"[^\x20\x09-\x0D]+"
 _WORD_OR_TWO = rf"[{_UNSPACED}]{{1,2}}|[^\x20\x09-\x0D{_UNSPACED}]+"
 
@@ -171,7 +172,7 @@ def without_common_lines(
 
     Adds ``n_lines`` and ``n_removed`` (columns of these names are replaced). Documents are
     ordered by id, versions of one id by a hash of their text. Lines are equal if they are
-    without the white space at their ends. A block is a line
+    without the white space at their ends (blanks, tabs, CR, form feeds). A block is a line
     of at least ``least_words`` words, or as few neighbouring lines as hold that many words together; two letters of a script without
     spaces count as a word. A block that several documents have leads each of them to one
     other, the earliest that has it: so the comparisons are as many as the shared blocks,
@@ -195,7 +196,7 @@ def without_common_lines(
         .select(
             F.col(doc_id).cast("long").alias("id"),
             F.xxhash64(body).alias("print"),
-            F.transform(raw, lambda x: F.xxhash64(F.trim(x))).alias("lines"),
+            F.transform(raw, lambda x: F.xxhash64(F.btrim(x, F.lit(_SPACE)))).alias("lines"),
             F.transform(raw, _word_count).alias("counts"),
         ),
         "line-hashes",
