@@ -139,3 +139,18 @@ def test_edge_cases(docs_of):
         [(None, 2, None), (None, 0, None), (1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4), (6, 2, 6), (6, 2, 6),
          (9, 2, 6), (10, 29_998, 10), (11, 29_999, 10)], key=key)
     assert ngram_components(docs_of([]), LIMIT, 3).count() == 0
+
+
+def test_texts_of_one_id_are_nodes_of_their_own(docs_of):
+    rng = random.Random(12)
+    text = lambda: [f"w{rng.randint(0, 10**6)}" for _ in range(200)]
+    docs, want = [], []
+    for i in range(20):
+        a, b, other = text(), text(), text()
+        docs += [(i, " ".join(a)), (i, " ".join(b)), (100 + i, " ".join([*a, "x"])), (200 + i, " ".join([*b, "y"]))]
+        docs += [(300 + i, " ".join(other)), (i, " ".join(a))]
+        want += [(i, i)] * 3 + [(100 + i, i), (200 + i, i), (300 + i, 300 + i)]
+    for seed in (1, 2):
+        random.Random(seed).shuffle(docs)
+        got = ngram_components(docs_of(docs), LIMIT, 3).collect()
+        assert sorted((r.doc_id, r.component_id) for r in got) == sorted(want)

@@ -309,16 +309,19 @@ def ngram_components(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(np.array(marks, dtype=np.uint64).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(at), pa.array(flat.view(np.int64))),
                 ],
-                names=["doc_id", "n", "mark", "keys"],
+                names=["doc_id", "print", "n", "mark", "keys"],
             )
 
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    own = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("print")
+    )
     signed = staged(
-        own.mapInArrow(sign, "doc_id long, n long, mark long, keys array<long>"), "ngram-signed"
+        own.mapInArrow(sign, "doc_id long, print long, n long, mark long, keys array<long>"), "ngram-signed"
     )
     named = signed.filter("doc_id IS NOT NULL AND n > 0")
 
@@ -334,12 +337,18 @@ def ngram_components(
     _free(spark)
     blocks = kept(components(near, "ngram-blocks").toDF("mark", "block"), "ngram-members")
 
-    # One document per distinct set, with its tokens, of those that are in a block.
-    firsts = staged(named.groupBy("mark").agg(F.min("doc_id").alias("first")), "ngram-firsts")
+    # One document per distinct set, with its tokens, of those that are in a block. An id
+    # does not tell its text, as it may have several.
+    firsts = named.groupBy("mark").agg(
+        F.min("doc_id").alias("first"), F.min_by("print", "doc_id").alias("first_print")
+    )
+    firsts = staged(firsts, "ngram-firsts")
     sizes = blocks.groupBy("block").agg(F.count("*").alias("held"))
     sizes = kept(sizes.withColumnRenamed("block", "b"), "ngram-sizes")
     members = kept(
-        blocks.join(firsts, "mark").join(sizes, F.col("block") == F.col("b")).select("mark", "first", "block", "held"),
+        blocks.join(firsts, "mark")
+        .join(sizes, F.col("block") == F.col("b"))
+        .select("mark", "first", "first_print", "block", "held"),
         "ngram-members",
     )
 
@@ -355,7 +364,8 @@ def ngram_components(
             )
 
     # The members are as many as the corpus makes them, so they are not for broadcasting.
-    texts = own.join(members.hint("merge"), F.col("doc_id") == F.col("first"))
+    same = (F.col("doc_id") == F.col("first")) & (F.col("print") == F.col("first_print"))
+    texts = own.join(members.hint("merge"), same)
     texts = texts.select("mark", "block", "held", "text")
     full = texts.mapInArrow(tokens, "mark long, block long, held long, tokens array<long>")
     full = staged(full, "ngram-tokens")
@@ -398,7 +408,7 @@ def ngram_components(
 
 
 def _distinct(rows: pa.Table) -> pa.Table:
-    """One row per mark: rows of an id that comes repeatedly have met the same member."""
+    """One row per mark: repeated rows of one id and text have met the same member."""
     marks = rows.column("mark").to_numpy()
     _, first = np.unique(marks, return_index=True)
     return rows if len(first) == len(marks) else rows.take(pa.array(np.sort(first)))
