@@ -77,3 +77,14 @@ def test_edge_cases(llm):
     assert sorted(r for r in got if r[0] is not None) == sorted(linked + alone)
     assert [r for r in got if r[0] is None] == [(None, 5, None, False)]
     assert vector_links(llm.createDataFrame([], SCHEMA), 0.95).count() == 0
+
+
+def test_every_dimension_is_joined_within_itself(llm):
+    wide, narrow = clouds(5, 20, 16), clouds(6, 6, 8)
+    narrow = [(100_001 + 2 * k, v, label) for k, (_, v, label) in enumerate(narrow)]
+    got = {r.vec_id: r for r in vector_links(llm.createDataFrame(wide + narrow, SCHEMA), 0.95).collect()}
+    for rows in (wide, narrow):
+        expected = brute(rows, 0.95)
+        links = sum(n for n, _ in expected.values())
+        assert links >= sum(got[i].n_links for i in expected) >= 0.97 * links > 0
+        assert sum(got[i].component_id != c for i, (_, c) in expected.items()) <= 0.03 * len(rows)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -126,17 +127,13 @@ def vector_links(
     Equal vectors are one node that counts its rows, so they are never paired. A bucket of more
     than `TILE` nodes is dealt to tiles that are compared two by two; a task holds two
     tiles, and hands on counts and a few links, not pairs. Vectors that are null, empty, zero or hold null or non-finite
-    components link with nothing (n_links 0, component_id their own id); vectors of different dimensions do not link,
-    and all are compared with those of the most common one: others count as not
-    comparable. Null ids: null component, not kept, links counted. Rows that repeat an
+    components link with nothing (n_links 0, component_id their own id). Vectors of different
+    dimensions do not link: each is compared with all of its own dimension. Null ids: null component, not kept, links counted. Rows that repeat an
     id are rows of their own. Empty tables give no rows; other columns are ignored.
     """
     kind = "array<float>" if dict(vectors.dtypes)[column] == "array<float>" else "array<double>"
     own = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(column).cast(kind).alias("v"))
-    wide = own.filter("v IS NOT NULL").groupBy(F.size("v").alias("d")).count()
-    size = wide.orderBy(F.desc("count"), "d").first()
-    dimension = size.d if size else 0
-    sound = (F.size("v") == dimension) & F.forall(
+    sound = F.forall(
         "v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     )
     sound &= F.exists("v", lambda x: x != 0)
@@ -150,7 +147,12 @@ def vector_links(
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = hashing.buckets(unit(batch.column(2))[0])
+            vectors = batch.column(2)
+            sizes = pa.compute.list_value_length(vectors).to_numpy()
+            found = np.zeros((len(vectors), hashing.tables), dtype=np.int32)
+            for size in np.unique(sizes):
+                own = np.flatnonzero(sizes == size)
+                found[own] = hashing.buckets(unit(vectors.take(pa.array(own)))[0])
             at = np.arange(0, found.size + 1, hashing.tables, dtype=np.int32)
             cells = pa.ListArray.from_arrays(pa.array(at), pa.array(found.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, cells], names=["node", "copies", "v", "cells"])
@@ -159,22 +161,24 @@ def vector_links(
         bucket, f"node long, copies long, v {kind}, cells array<int>"
     )
     hashed = staged(hashed, "vector-buckets")
-    places = hashed.select("node", F.posexplode("cells").alias("t", "cell"))
-    held = places.groupBy("t", "cell").agg(F.count("*").alias("n")).filter("n > 1")
-    held = staged(held.select(F.col("t").alias("t_"), F.col("cell").alias("cell_"), "n"), "vector-held")
-    met = places.join(held, (F.col("t") == F.col("t_")) & (F.col("cell") == F.col("cell_")))
+    places = hashed.select("node", F.size("v").alias("d"), F.posexplode("cells").alias("t", "cell"))
+    held = places.groupBy("d", "t", "cell").agg(F.count("*").alias("n")).filter("n > 1")
+    held = held.select(F.col("d").alias("d_"), F.col("t").alias("t_"), F.col("cell").alias("cell_"), "n")
+    held = staged(held, "vector-held")
+    same = (F.col("d") == F.col("d_")) & (F.col("t") == F.col("t_")) & (F.col("cell") == F.col("cell_"))
+    met = places.join(held, same)
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     mine = F.pmod(F.xxhash64("node"), tiles).cast("int")
     sides = (
         met.withColumns({"mine": mine, "other": F.explode(F.sequence(F.lit(0), tiles - 1))})
         .withColumns({"low": F.least("mine", "other"), "high": F.greatest("mine", "other")})
-        .select(F.col("node").alias("node_"), "t", "cell", "low", "high", "mine")
+        .select(F.col("node").alias("node_"), "d", "t", "cell", "low", "high", "mine")
     )
     dealt = (
         sides.join(hashed, F.col("node_") == F.col("node"))
-        .select("t", "cell", "low", "high", "mine", "node", "copies", "v", "cells")
-        .repartition("t", "cell", "low", "high")
-        .sortWithinPartitions("t", "cell", "low", "high")
+        .select("d", "t", "cell", "low", "high", "mine", "node", "copies", "v", "cells")
+        .repartition("d", "t", "cell", "low", "high")
+        .sortWithinPartitions("d", "t", "cell", "low", "high")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +186,7 @@ def vector_links(
         out: dict[int, int] = {}
         a_side: list[int] = []
         b_side: list[int] = []
-        for (t, _, low, high), group in contiguous(batches, ["t", "cell", "low", "high"]):
+        for (_, t, _, low, high), group in contiguous(batches, ["d", "t", "cell", "low", "high"]):
             if group.num_rows < 2:
                 continue
             node = group.column("node").to_numpy()
