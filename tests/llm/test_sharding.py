@@ -73,3 +73,13 @@ def test_range_search(llm):
     bounds = [-50, -3, 0, 9, 10]
     df = llm.range(-60, 60, 1).select("id", sharding._range_of(F.col("id"), bounds).alias("r"))
     assert all(r.r == sum(b <= r.id for b in bounds) for r in df.collect())
+
+
+def test_many_empty_texts_are_more_than_one_cell(docs_of, monkeypatch):
+    seen, stage = {}, sharding.staged
+    monkeypatch.setattr(sharding, "staged", lambda df, label: seen.setdefault(label, stage(df, label)))
+    docs = [(i, None if i % 2 else "") for i in range(2000)] + [(5000 + i, f"long text {i} " * 60) for i in range(4000)]
+    rows = sharded(docs_of(docs), 4)
+    check(rows, docs, 4)
+    assert len({r["shard"] for r in rows if r["doc_id"] < 5000}) == 1
+    assert max(r["count"] for r in seen["shard-cells"].groupBy("cell").count().collect()) < 200

@@ -82,9 +82,9 @@ def shard_by_bytes(
     expected keys gives quantile splitters for `RANGES` ranges; the exact bytes of each
     range are counted, and a range above 1 / `CELLS` of a shard is subdivided into cells.
     Cells are dealt to shards in key order, so a shard is off by at most half a cell.
-    Groups of equal texts above 1 / `HEAVY` of a shard (at most ``shards * HEAVY`` of them)
-    are counted on their own: one that fits a shard stays whole, any other is cut by a hash
-    of the id. ``slot`` numbers a shard's rows from 0: the rows of the cells before it plus
+    Groups of equal texts above 1 / `HEAVY` of a shard's mean bytes or rows (at most
+    ``2 * shards * HEAVY`` of them) are counted on their own and divided into cells by a hash of
+    the id, by their rows; one that fits a shard stays whole in it, any other is cut. ``slot`` numbers a shard's rows from 0: the rows of the cells before it plus
     the row's number in its cell, so no task ever holds a shard.
 
     Columns: doc_id, size, text_crc32 (null text: of no bytes, 0), law ('bytes'), shard,
@@ -108,7 +108,8 @@ def shard_by_bytes(
         return spark.createDataFrame([], SCHEMA)
 
     by_text = keyed.groupBy("key").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
-    groups = by_text.filter(F.col("bytes") * (shards * HEAVY) > total).collect()
+    large = (F.col("bytes") * (shards * HEAVY) > total) | (F.col("n") * (shards * HEAVY) > rows)
+    groups = by_text.filter(large).collect()
     parts = {g.key: max(1, math.ceil(g.n * shards * CELLS / rows)) for g in groups}
     heavy = values(spark, "heavy long, parts int", parts.items())
     tagged = keyed.join(F.broadcast(heavy), keyed.key == heavy.heavy, "left")
