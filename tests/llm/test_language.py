@@ -110,3 +110,12 @@ def test_the_larger_part_of_a_mixed_text_wins(docs_of):
     text = prose(rng, "aa", 60) + " " + prose(rng, "bb", 25)
     row = language.identify(docs_of([(1, text)]), model).first()
     assert row.lang_pred == "aa" and 0.5 < row.score < 0.95
+
+
+def test_every_language_of_the_data_is_learned(docs_of):
+    text = lambda k: f"{chr(0x4E00 + 7 * k)}{chr(0x3400 + 11 * k)} " * 12
+    rows = [(2 * k + i, text(k), f"l{k:03d}", "s") for k in range(230) for i in range(2)]
+    model = language.fit(docs_of(rows))
+    assert model.languages == [f"l{k:03d}" for k in range(230)]
+    told = language.identify(docs_of(rows), model).collect()
+    assert all(r.lang_pred == r.lang for r in told)

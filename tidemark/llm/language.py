@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import share
@@ -22,8 +22,6 @@ FIT_TEXTS = 400
 PIECE = 64
 # Bytes scored at once, so that the arrays of a batch with very long texts stay small.
 CHUNK = 1 << 20
-# Most languages told apart.
-MOST_LANGUAGES = 200
 
 UNKNOWN = "und"
 
@@ -98,13 +96,13 @@ def _count_runs(languages: list[str]):
                 for i in range(1, k + 1):
                     at = offsets[1:-1] - i
                     inside[at[(at >= 0) & (at < n)]] = False
-                keys = (run * MOST_LANGUAGES + per_byte[:n])[inside]
+                keys = (run * len(languages) + per_byte[:n])[inside]
                 seen, times = np.unique(keys, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(seen), k, dtype=np.int32)),
-                        pa.array(seen // MOST_LANGUAGES),
-                        pa.array((seen % MOST_LANGUAGES).astype(np.int32)),
+                        pa.array(seen // len(languages)),
+                        pa.array((seen % len(languages)).astype(np.int32)),
                         pa.array(times),
                     ],
                     names=["k", "run", "lang", "n"],
@@ -124,16 +122,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> ByteMode
     """
     known = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     known = known.filter("text IS NOT NULL AND text <> '' AND lang IS NOT NULL")
-    sizes = dict(
-        known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    )
+    sizes = dict(known.groupBy("lang").count().collect())
     languages = sorted(sizes)
     if not languages:
         return _model([], [])
-    rate: Column = F.lit(0.0)
-    for name in languages:
-        rate = F.when(F.col("lang") == name, FIT_TEXTS / sizes[name]).otherwise(rate)
-    drawn = known.filter(share("text", seed=8) < rate)
+    rates = F.create_map(*[F.lit(x) for name in languages for x in (name, FIT_TEXTS / sizes[name])])
+    drawn = known.filter(share("text", seed=8) < rates[F.col("lang")])
     runs = drawn.mapInArrow(_count_runs(languages), "k int, run long, lang int, n long")
     counts = runs.groupBy("k", "run", "lang").agg(F.sum("n").alias("n"))
     # Runs seen once in the sample say little and are most of it: long ones are left out
