@@ -5,10 +5,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, language, token_counts, toxicity
+from tidemark.llm import byte_bpe, html_text, language, token_counts, toxicity
 from tidemark.llm.common import fold, ready, table
 from tidemark.llm.decontamination import contaminated
 from tidemark.llm.line_dedup import without_common_lines
@@ -31,6 +32,10 @@ MARGINS = {
 TOPICS = [("licence", r"[Ll]icense"), ("contact", r"[A-Za-z0-9._]+@[A-Za-z0-9]")]
 KEEP = 0.5
 
+# Ranks of byte-level tokens, and how a text is split before they apply.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+
 # A word with an at sign in it.
 ADDRESS = r"[^\x20\x09-\x0D@]*@[^\x20\x09-\x0D]*"
 
@@ -175,3 +180,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__probability").alias("probability"),
         F.col("__kept").alias("kept"),
     )
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe.Vocabulary.load(RANKS, PATTERN)
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), vocabulary, keep=["doc_id"])
+    told = byte_bpe.decode(encoded, vocabulary)
+    return told.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

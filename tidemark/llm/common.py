@@ -5,9 +5,11 @@ from __future__ import annotations
 import functools
 import shutil
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +18,17 @@ from tidemark.session import staged, tune
 # Rows of one Arrow batch handed to Python: with texts of tens of kilobytes a batch
 # stays a few dozen megabytes.
 BATCH_ROWS = 500
+# Bytes of one Arrow batch: what bounds it where texts are long.
+BATCH_BYTES = 32 << 20
+# Bytes of the texts that Python handles at once.
+SLICE_BYTES = 8 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """The session with the settings the operators rely on."""
     tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.sparkContext.addPyFile(_package(spark.sparkContext.applicationId))
     return spark
 
@@ -38,6 +45,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sliced(
+    batches: Iterable[pa.RecordBatch], text: str, size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices whose texts have about ``size`` bytes, at least a row each."""
+    for batch in batches:
+        column = batch.column(text)
+        wide = column.cast(pa.large_string()) if pa.types.is_string(column.type) else column
+        ends = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset + 1 : wide.offset + len(wide) + 1]
+        start, begun = 0, 0 if not len(wide) else int(np.frombuffer(wide.buffers()[1], np.int64)[wide.offset])
+        while start < len(wide):
+            end = max(start + 1, int(np.searchsorted(ends, begun + size, side="right")))
+            yield batch.slice(start, end - start)
+            start, begun = end, int(ends[end - 1])
+
+
 def fold(id_column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     text = F.coalesce(F.col(id_column).cast("string"), F.lit(""))

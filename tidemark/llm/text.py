@@ -63,6 +63,15 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each stretch of bytes; equal stretches have equal ones."""
+    n = len(data)
+    power, inverse = _both_powers(n + 1)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[data] * power[:n], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts])
+
+
 class Words(NamedTuple):
     hashes: np.ndarray  # uint64, in text order
     starts: np.ndarray  # first byte
