@@ -15,6 +15,7 @@ from tidemark.llm.decontamination import contaminated
 from tidemark.llm.line_dedup import without_common_lines
 from tidemark.llm.mixing import mixed
 from tidemark.llm.ngram_join import Threshold, ngram_components
+from tidemark.llm.periodic_runs import periodic_runs, planted_repeats
 from tidemark.llm.sharding import shard_by_bytes
 from tidemark.llm.vector_dedup import vector_links
 from tidemark.session import scratch_path, staged
@@ -193,3 +194,23 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted_repeats("doc_id", "text").alias("text"))
+    told = periodic_runs(docs, keep=["doc_id"])
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length, -r.start, -r.period)))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r.start, r.length, r.period))
+    told = told.withColumns({"best": longest, "lines": F.array_join(lines, "")})
+    length, period = F.col("best.length"), -F.col("best.col3")
+    return told.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(length * 1000 / period).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
