@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import byte_bpe, html_text, language, token_counts, toxicity
 from tidemark.llm.common import fold, ready, table
 from tidemark.llm.decontamination import contaminated
+from tidemark.llm.hard_negatives import hard_negatives
 from tidemark.llm.line_dedup import without_common_lines
 from tidemark.llm.mixing import mixed
 from tidemark.llm.ngram_join import Threshold, ngram_components
@@ -214,3 +215,34 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("lines", 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives(vectors, anchor=F.col("vec_id") % 50 == 0)
+
+
+_SQL["op11_hard_negatives"] = """
+WITH vectors AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.id AS anchor_id, r.id AS id, a.label = r.label AS same,
+        CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM vectors a JOIN vectors r ON a.id % 50 = 0 AND a.id <> r.id
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, n.id AS negative_id,
+    positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+    AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+QUALIFY row_number() OVER best <= 3
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.id)
+"""
