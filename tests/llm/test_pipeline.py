@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in catalogue.all_queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalogue.all_queries()) == list(range(1, 14))
     assert set(catalogue.all_queries()) | {"pipeline"} <= set(queries())
 
 
