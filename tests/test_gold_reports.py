@@ -91,7 +91,10 @@ def test_traffic_of_all_days_is_that_of_each_day(frame):
     together = sorted(map(tuple, gold.hourly_traffic(df).collect()))
     apart = [r for day in ("2026-03-08", "2026-03-09") for r in gold.hourly_traffic(df, day).collect()]
     assert together == sorted(map(tuple, apart)) and len(together) == 2
-    assert [(r[1], r[3], r[4], r[6]) for r in together] == [(0, 1, 600.0, 0.0), (23, 0, 0.0, 1.0)]
+    assert [(r[1], r[3], r[4], r[6]) for r in together] == [
+        (23, 0, 0.0, 1.0),
+        (0, 1, 600.0, 0.0),
+    ]
 
 
 def expected_label(r, f, m):

@@ -1,3 +1,6 @@
+import pytest
+from pyspark.errors import AnalysisException
+
 from tidemark import staged, tune
 from tidemark.session import shared_folder, staging
 
@@ -19,4 +22,6 @@ def test_staged_rows_lie_in_the_shared_folder(spark):
     with staging(spark.range(10), "numbers") as inside:
         assert inside.count() == 10
         path = inside.inputFiles()[0].rsplit("/", 1)[0]
-    assert spark.read.parquet(path).count() == 0
+    # The folder goes with the block.
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

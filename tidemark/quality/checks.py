@@ -246,4 +246,6 @@ def check_from_config(config: Mapping[str, Any]) -> Check:
     if kind not in _CONFIG:
         raise ValueError(f"unknown check type {kind!r}, expected one of {sorted(_CONFIG)}")
     build, names = _CONFIG[kind]
-    return build(*[config[name] for name in names])
+    # A side of a range that is not named is open.
+    open_sides = dict.fromkeys(("min_value", "max_value"))
+    return build(*[(open_sides | config)[name] for name in names])
