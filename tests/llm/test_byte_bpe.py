@@ -70,6 +70,14 @@ def test_forgetting_changes_nothing(monkeypatch):
         assert small.encode([text])[0].tolist() == PUBLIC.encode_ordinary(text)
 
 
+def test_bytes_are_gathered_in_chunks(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CHUNK", 3)
+    data = np.frombuffer(b"abcdefgh", np.uint8)
+    starts, lengths = np.array([4, 0, 2, 7, 1, 1, 3]), np.array([3, 0, 2, 1, 0, 7, 1])
+    parts = [byte_bpe._gathered(data, s, n) for s, n in byte_bpe._chunks(starts, lengths)]
+    assert len(parts) == 3 and b"".join(p.tobytes() for p in parts) == b"efg" b"cd" b"h" b"bcdefgh" b"d"
+
+
 def test_operator_edges(llm, docs_of):
     rows = [(1, "It's 10 o'clock,  ok?"), (1, "It's 10 o'clock,  ok?"), (2, None), (3, ""), (None, "<|endoftext|>\x00"),
             (4, "a b " * 100_000)]

@@ -13,16 +13,19 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import sliced
-from tidemark.llm.perfect_hash import PerfectHash
+from tidemark.llm.perfect_hash import PerfectHash, joined
 
 # Pre-tokens whose ids a Python worker remembers (some 200 bytes each); after a slice that
 # leaves more it forgets all of them.
 REMEMBERED = 700_000
+# Ids that are decoded at once.
+CHUNK = 1 << 18
 _POSITION = 40
 _MASK = (1 << _POSITION) - 1
 
@@ -77,20 +80,20 @@ class Encoder:
         for token, rank in self.ranks.items():
             if len(token) == 2:
                 self.two[token[0] << 8 | token[1]] = rank
-        self.known: dict[str, tuple[int, ...]] = {}
+        # The ids of a pre-token, 32 bits each.
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts, and where each text's begin (one more: the end)."""
         pieces = [self.split(t) if t else [] for t in texts]
         self._learn(set(chain.from_iterable(pieces)))
         ids_of = self.known.__getitem__
-        ids, at = array("i"), array("i", [0])
-        for own in pieces:
-            ids.extend(chain.from_iterable(map(ids_of, own)))
-            at.append(len(ids))
+        found = [b"".join(map(ids_of, own)) for own in pieces]
         if len(self.known) > REMEMBERED:
             self.known = {}
-        return np.array(ids, np.int32), np.array(at, np.int32)
+        at = np.zeros(len(found) + 1, dtype=np.int32)
+        np.cumsum([len(f) // 4 for f in found], out=at[1:])
+        return np.frombuffer(b"".join(found), np.int32), at
 
     def _learn(self, pieces: set[str]) -> None:
         """Ids of all pre-tokens not known yet: first those that are tokens as a whole."""
@@ -100,7 +103,8 @@ class Encoder:
         ranks = words.by_slot[words.whole.slots(raw)].tolist()
         tokens, known, merged = words.tokens, self.known, self.merged
         for piece, data, rank in zip(new, raw, ranks, strict=True):
-            known[piece] = (rank,) if tokens[rank] == data else tuple(merged(data))
+            ids = (rank,) if tokens[rank] == data else merged(data)
+            known[piece] = array("i", ids).tobytes()
 
     def merged(self, data: bytes) -> list[int]:
         """Ids of one pre-token by merging, while there is one, the pair of neighbours of least
@@ -179,6 +183,18 @@ def encode(
     return source.mapInArrow(run, schema)
 
 
+def _chunks(*arrays: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    for k in range(0, len(arrays[0]), CHUNK):
+        yield tuple(a[k : k + CHUNK] for a in arrays)
+
+
+def _gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Stretches of bytes one after another."""
+    ends = np.cumsum(lengths)
+    moved = np.repeat(starts - (ends - lengths), lengths)
+    return data[moved + np.arange(len(moved))]
+
+
 def decode(
     docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded: str = "decoded"
 ) -> DataFrame:
@@ -191,22 +207,26 @@ def decode(
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = vocabulary.tokens
+        data, starts = joined(vocabulary.tokens)
         for batch in batches:
             column = batch.column(ids)
-            found: list[bytes | None] = []
-            for row in column:
-                own = row.values
-                if own is None or own.null_count:
-                    found.append(None)
-                    continue
-                numbers = own.to_numpy(zero_copy_only=False)
-                if len(numbers) and not 0 <= numbers.min() <= numbers.max() < len(tokens):
-                    found.append(None)
-                    continue
-                found.append(b"".join(map(tokens.__getitem__, numbers.tolist())))
-            rest = [batch.column(c) for c in held]
-            out = pa.array(found, pa.binary())
-            yield pa.RecordBatch.from_arrays([*rest, out], names=[*held, decoded])
+            at = np.zeros(len(column) + 1, dtype=np.int64)
+            np.cumsum(pc.list_value_length(column).fill_null(0).to_numpy(), out=at[1:])
+            flat = column.flatten()
+            numbers = flat.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            wrong = (numbers < 0) | (numbers >= len(starts) - 1)
+            numbers[wrong] = 0
+            lengths = (starts[1:] - starts[:-1])[numbers]
+            upto = np.append(0, np.cumsum(lengths))[at]
+            parts = [_gathered(data, starts[n], k) for n, k in _chunks(numbers, lengths)]
+            raw = np.concatenate([data[:0], *parts])
+            bad = np.add.reduceat(np.append(wrong, False), at[:-1]) > 0 if len(column) else wrong
+            bad &= at[1:] > at[:-1]
+            bad |= column.is_null().to_numpy(zero_copy_only=False)
+            whole = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(column), [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(raw)]
+            )
+            out = pc.if_else(pa.array(~bad), whole, pa.scalar(None, pa.large_binary())).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in held], out], names=[*held, decoded])
 
     return docs.select(*held).mapInArrow(run, f"{schema}, `{decoded}` binary")
