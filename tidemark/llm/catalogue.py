@@ -227,10 +227,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SQL["op11_hard_negatives"] = """
 WITH vectors AS (
     SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-        list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
     FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT a.id AS anchor_id, r.id AS id, a.label = r.label AS same,
         CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
@@ -243,6 +243,6 @@ SELECT p.anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank
     positive_score, n.score AS negative_score
 FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
     AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
-QUALIFY row_number() OVER best <= 3
 WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.id)
+QUALIFY row_number() OVER best <= 3
 """
