@@ -31,7 +31,7 @@ MARGINS = {
     "lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1},
     "topic": {"licence": 0.02, "contact": 0.025},
 }
-TOPICS = [("licence", r"[Ll]icense"), ("contact", r"[A-Za-z0-9._]+@[A-Za-z0-9]")]
+TOPICS = [("licence", r"[Ll]icense"), ("contact", r"[A-Za-z0-9._]@[A-Za-z0-9]")]
 KEEP = 0.5
 
 # Ranks of byte-level tokens, and how a text is split before they apply.
@@ -171,7 +171,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    told = mixed(table(spark, sf_dir, "documents"), MARGINS, KEEP, TOPICS)
+    docs = table(spark, sf_dir, "documents")
+    told = mixed(docs, MARGINS, KEEP, TOPICS, keep_columns=["doc_id", "source", "lang"])
     return told.select(
         "doc_id",
         "source",

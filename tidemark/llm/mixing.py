@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import share, values
 from tidemark.session import staged
 
-# A sweep adjusts to every marginal once.
-MOST_SWEEPS = 50
+# A sweep adjusts to every marginal once. After so many that bring the weights no nearer to
+# rest, the targets contradict each other or the bound on the weights, and the fitting ends.
+PATIENCE = 10
 # Largest relative change of a cell's weight in a sweep at which the fitting ends: far below
 # what the sampling itself moves a marginal.
 TOLERANCE = 1e-3
@@ -26,7 +28,7 @@ Margin = Mapping[str, float] | float
 
 def word_count(text: Column) -> Column:
     """Runs of characters other than ASCII white space; 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0)).cast("long")
 
 
 def topic_of(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -68,7 +70,8 @@ def rake(cells: DataFrame, margins: Mapping[str, Margin], most: float | None = N
     stays there, and the others of its marginals make up for it as far as they can. Each
     sweep scales the cells of every value of every column to the value's goal, and is
     written to the shared folder; the fitting ends when no weight moves by more than
-    `TOLERANCE`, or after `MOST_SWEEPS`. All of it is
+    `TOLERANCE`. Where the targets can't all be met the weights come to no rest: after
+    `PATIENCE` sweeps without progress the last ones are returned, with a warning. All of it is
     aggregation and joins of the table of cells, which has a row per combination seen in
     the corpus; the driver gets two numbers per sweep.
     """
@@ -77,7 +80,8 @@ def rake(cells: DataFrame, margins: Mapping[str, Margin], most: float | None = N
     if not total:
         return now
     goals = {column: _targets(cells, column, margin) for column, margin in margins.items()}
-    for _ in range(MOST_SWEEPS):
+    least, idle = float("inf"), 0
+    while True:
         step = now.withColumn("before", F.col("weight"))
         for k, (column, goal) in enumerate(goals.items()):
             held = step.groupBy(column).agg(F.sum(F.col("weight") * F.col("tokens")).alias("held"))
@@ -96,8 +100,11 @@ def rake(cells: DataFrame, margins: Mapping[str, Margin], most: float | None = N
         largest = now.filter("tokens > 0 AND before > 0").agg(moved).first()[0] or 0.0
         now = now.drop("before")
         if largest <= TOLERANCE:
-            break
-    return now
+            return now
+        least, idle = (largest, 0) if largest < 0.99 * least else (least, idle + 1)
+        if idle >= PATIENCE:
+            warnings.warn(f"the targets cannot all be met: weights still move by {largest:.3g} a sweep", stacklevel=2)
+            return now
 
 
 def mixed(
@@ -108,6 +115,7 @@ def mixed(
     doc_id: str = "doc_id",
     text: str = "text",
     seed: int = 0,
+    keep_columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Documents with ``__topic``, ``__tokens``, ``__weight``, ``__probability``, ``__kept``.
 
@@ -121,29 +129,32 @@ def mixed(
 
     Null marginal values are a category of their own. Null and empty texts have 0 tokens
     and take their cell's probability. Long texts
-    are counted whole. An empty table gives no rows. All columns of the input stay;
-    those of the five names above are replaced.
+    are counted whole. An empty table gives no rows. The columns ``keep_columns`` of the
+    input stay (none given: all); those of the five names above are replaced.
+
+    The texts are gone through once: topics, word counts and hashes are written to the shared
+    folder with the columns that stay, and everything after reads those.
     """
     own = ("__topic", "__tokens", "__weight", "__probability", "__kept")
-    keys = {c: F.col("__topic") if c == "topic" else F.col(c) for c in margins}
+    stay = [c for c in (docs.columns if keep_columns is None else keep_columns) if c not in own]
+    keys = {f"__key{k}": F.col("__topic" if c == "topic" else c) for k, c in enumerate(margins)}
     told = docs.drop(*own).withColumns(
-        {"__topic": topic_of(F.col(text), topics), "__tokens": word_count(F.col(text))}
-    )
-    named = {f"__key{k}": F.coalesce(c.cast("string"), F.lit(NONE)) for k, c in enumerate(keys.values())}
-    keyed = told.withColumns(named)
-    counted = keyed.groupBy(*named).agg(F.sum("__tokens").alias("tokens"))
-    cells = rake(
-        staged(counted, "mix-cells"), dict(zip(named, margins.values(), strict=True)), 1.0 / keep
-    )
-    weights = cells.select(
-        *[F.col(n).alias(f"{n}_") for n in named],
-        F.col("weight").alias("__weight"),
+        {
+            "__topic": topic_of(F.col(text), topics),
+            "__tokens": word_count(F.col(text)),
+            "__share": share(doc_id, text, seed=seed + 1),
+        }
     )
-    same = [F.col(n) == F.col(f"{n}_") for n in named]
+    named = [F.coalesce(c.cast("string"), F.lit(NONE)).alias(n) for n, c in keys.items()]
+    keyed = staged(told.select(*stay, "__topic", "__tokens", "__share", *named), "mix-rows")
+    counted = keyed.groupBy(*keys).agg(F.sum("__tokens").alias("tokens"))
+    cells = rake(staged(counted, "mix-cells"), dict(zip(keys, margins.values(), strict=True)), 1.0 / keep)
+    weights = cells.select(*[F.col(n).alias(f"{n}_") for n in keys], F.col("weight").alias("__weight"))
+    same = [F.col(n) == F.col(f"{n}_") for n in keys]
     probability = F.least(F.lit(1.0), F.col("__weight") * F.lit(keep))
     return (
         keyed.join(weights, same)
         .withColumn("__probability", probability)
-        .withColumn("__kept", share(doc_id, text, seed=seed + 1) < F.col("__probability"))
-        .select(*[c for c in told.columns if c not in own], *own)
+        .withColumn("__kept", F.col("__share") < F.col("__probability"))
+        .select(*stay, *own)
     )
