@@ -113,7 +113,7 @@ def test_orders_run(spark, sources, tmp_path):
     passing = {**feed, "customers": feed["customers"].withColumn("email", F.lit("a@b"))}
     result = jobs.run_orders(spark, lake, passing, day)
     assert result["quality"]["passed"] and result["gold"]["daily_sales"] > 0
-    silver = spark.read.schema(ORDERS.schema).parquet(lake.silver("orders"))
+    silver = read_table(spark, lake.silver("orders"), ORDERS.schema)
     assert result["silver"]["orders"] == silver.count()
     current = jobs.read_current(spark, lake, ORDERS)
     assert current.count() == current.select("order_id").distinct().count() == silver.select("order_id").distinct().count()

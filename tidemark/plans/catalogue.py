@@ -551,9 +551,9 @@ def _in_season(ts: Column) -> Column:
     return F.timestamp_seconds(start + F.pmod(F.unix_timestamp(ts) - start, F.lit(SEASON_DAYS * 86400)))
 
 
-def _run_orders_twice(spark: SparkSession, sf_dir: str, lake: jobs.Lake) -> None:
-    """The four tables taken in by two runs, with all their rows moved into one season. The
-    first run's feed of orders ends before the late changes, so the second changes orders
+def _season_feeds(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
+    """The four tables as two runs find them, with all their rows moved into one season. The
+    first feed of orders ends before the late changes, so the second changes orders
     of days that are built already."""
     audit = ("source_table", "ingested_at", SLICE)
     items = td.order_items(spark, sf_dir).drop(*audit)
@@ -574,10 +574,34 @@ def _run_orders_twice(spark: SparkSession, sf_dir: str, lake: jobs.Lake) -> None
         ),
     }
     early = F.col("updated_at") <= F.lit(SEASON_SPLIT).cast("timestamp")
-    for feed in ({**sources, "orders": sources["orders"].filter(early)}, sources):
+    return [{**sources, "orders": sources["orders"].filter(early)}, sources]
+
+
+def _run_orders_twice(spark: SparkSession, sf_dir: str, lake: jobs.Lake) -> None:
+    for feed in _season_feeds(spark, sf_dir):
         jobs.run_orders(spark, lake, feed, SEASON_START, gate=False)
 
 
+class _Broken(RuntimeError):
+    """Stands for a run that breaks off."""
+
+
+def _run_orders_broken(spark: SparkSession, sf_dir: str, lake: jobs.Lake) -> None:
+    """The second run breaks off after the current orders moved on, its repetition after the
+    totals that follow them; the run that then gets through is for a day without orders."""
+    first, second = ({k: feed[k] for k in ("customers", "orders")} for feed in _season_feeds(spark, sf_dir))
+    jobs.run_orders(spark, lake, first, SEASON_START, gate=False)
+    for stage in ("current-orders", "order_days"):
+
+        def hook(name: str, stage: str = stage) -> None:
+            if name == stage:
+                raise _Broken(stage)
+
+        with contextlib.suppress(_Broken):
+            jobs.run_orders(spark, lake, second, SEASON_START, gate=False, after=hook)
+    jobs.run_orders(spark, lake, second, "2030-01-01", gate=False)
+
+
 def _orders_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
     return _lake(spark, sf_dir, "orders", _run_orders_twice)
 
@@ -596,6 +620,21 @@ def job_orders_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, lake.gold("gold_daily_sales"))
 
 
+@query
+def job_orders_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of all days where runs broke off in the middle and were repeated for another day."""
+    lake = _lake(spark, sf_dir, "recovered", _run_orders_broken)
+    return read_table(spark, lake.gold("gold_daily_sales"))
+
+
+@query
+def job_order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and money per day and customer, moved on by the log of the current orders alone."""
+    return jobs.read_order_days(spark, _orders_lake(spark, sf_dir)).select(
+        "order_date", "customer_id", F.col("revenue").cast("decimal(25,2)").alias("revenue"), "orders"
+    )
+
+
 @query
 def job_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments built from the stored current orders."""

@@ -27,25 +27,17 @@ def on_day(df: DataFrame, ts_col: str, day: str | date | None) -> DataFrame:
     return df.filter(F.to_date(ts_col) == F.lit(str(day)).cast("date"))
 
 
-def daily_sales(
-    orders: DataFrame, customers: DataFrame, day: str | date | None = None
-) -> DataFrame:
-    """Revenue, orders and buyers per day and customer country.
-
-    ``orders`` and ``customers`` hold one row per id (see `current_snapshot`), so
-    orders and buyers can be counted without distinct sets. Orders are summed per
-    day and customer before the join: a customer with a large part of all orders
-    brings one row per day to it.
-    """
-    per_customer = (
-        on_day(orders, "order_timestamp", day)
-        .groupBy(F.to_date("order_timestamp").alias("order_date"), "customer_id")
-        .agg(
-            F.sum("total_amount").alias("revenue"),
-            F.count("total_amount").alias("priced"),
-            F.count("order_id").alias("orders"),
-        )
+def sales_per_customer(orders: DataFrame) -> DataFrame:
+    """Orders, those with an amount, and their money per day and customer."""
+    return orders.groupBy(F.to_date("order_timestamp").alias("order_date"), "customer_id").agg(
+        F.sum("total_amount").alias("revenue"),
+        F.count("total_amount").alias("priced"),
+        F.count("order_id").alias("orders"),
     )
+
+
+def sales_by_country(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
+    """Daily sales from the table of `sales_per_customer`."""
     countries = customers.select("customer_id", F.col("country_code").alias("country"))
     revenue = F.sum("revenue")
     return (
@@ -60,6 +52,19 @@ def daily_sales(
     )
 
 
+def daily_sales(
+    orders: DataFrame, customers: DataFrame, day: str | date | None = None
+) -> DataFrame:
+    """Revenue, orders and buyers per day and customer country.
+
+    ``orders`` and ``customers`` hold one row per id (see `current_snapshot`), so
+    orders and buyers can be counted without distinct sets. Orders are summed per
+    day and customer before the join: a customer with a large part of all orders
+    brings one row per day to it.
+    """
+    return sales_by_country(sales_per_customer(on_day(orders, "order_timestamp", day)), customers)
+
+
 def product_funnel(events: DataFrame, day: str | date | None = None) -> DataFrame:
     """Stage counts and conversion rates per day and product.
 
@@ -160,6 +165,21 @@ def rfm_base(orders: DataFrame, snapshot_date: str | date) -> DataFrame:
     ).withColumn("recency_days", F.datediff("snapshot_date", "last_order_date"))
 
 
+def rfm_of_days(per_customer: DataFrame, snapshot_date: str | date) -> DataFrame:
+    """As `rfm_base`, from the table of `sales_per_customer`: a customer's last order is the last
+    day that has any, so it also moves back when orders are taken away."""
+    return (
+        per_customer.groupBy("customer_id")
+        .agg(
+            F.max("order_date").alias("last_order_date"),
+            F.sum("orders").alias("frequency"),
+            F.sum("revenue").cast("decimal(25,2)").alias("monetary"),
+        )
+        .withColumn("snapshot_date", F.lit(str(snapshot_date)).cast("date"))
+        .withColumn("recency_days", F.datediff("snapshot_date", "last_order_date"))
+    )
+
+
 def rfm_scores(base: DataFrame, k: int = 5, tie_break: str = "customer_id") -> DataFrame:
     """Scores 1..k per dimension; recent, frequent and big customers score high.
 

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import date
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import apply_changes, changes_after
+from tidemark.operators import changes_after
 from tidemark.plans import gold
+from tidemark.plans.ledger import Ledger
 from tidemark.plans.silver import to_silver
 from tidemark.quality import (
     Check,
@@ -25,15 +27,18 @@ from tidemark.quality import (
     report_of,
 )
 from tidemark.quality.suites import DAILY_SALES_SUITE, PRODUCT_FUNNEL_SUITE
-from tidemark.session import exists, staged
+from tidemark.session import exists, staging
 from tidemark.sinks import (
     BATCH,
+    CurrentTable,
+    SumTable,
     append_counted,
     land_batch,
+    publish_slices,
+    publish_table,
     replace_slice,
-    replace_slices,
-    replace_table,
 )
+from tidemark.sinks.current import SIGN
 from tidemark.sources import (
     GOLD_VIEWS,
     parse_events,
@@ -89,6 +94,14 @@ class Lake:
     def gold(self, view: str) -> str:
         return f"{self.gold_root}/{GOLD_VIEWS[view]}"
 
+    @property
+    def order_days(self) -> str:
+        return f"{self.root}/state/order_days"
+
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/state/due"
+
     @property
     def watermarks(self) -> str:
         return f"{self.root}/state/watermarks"
@@ -127,7 +140,8 @@ def ingest_changes(
     limit: int | None = None,
     watermark: Mapping[str, str] | None = None,
 ) -> dict[str, Any]:
-    """Land the next batch of changes of one table in Bronze, then move its watermark.
+    """Land the next batch of changes of one table in Bronze, note its slices as due in Silver,
+    then move the table's watermark.
 
     Count, touched dates and new position are observed while writing. The batch is named
     after the position it starts from: after a crash in between it is taken in again
@@ -149,6 +163,7 @@ def ingest_changes(
     )
     position = dict(watermark or {})
     if landed["rows"]:
+        Ledger(spark, lake.ledger).note(f"silver-{spec.name}", landed["slices"])
         position = landed["top"].asDict()
         save_watermark(spark, lake.watermarks, spec.name, position)
     return {
@@ -184,7 +199,7 @@ def build_silver_table(
 ) -> int:
     """Recompute Silver slices of one orders table from Bronze."""
     bronze = _bronze_slices(spark, lake.bronze(spec.name), spec, days)
-    return replace_slices(to_silver(bronze, spec), lake.silver(spec.name), SLICE, days)
+    return publish_slices(to_silver(bronze, spec), lake.silver(spec.name), SLICE, days)
 
 
 def _bronze_slices(
@@ -200,44 +215,69 @@ def _bronze_slices(
     return bronze.withColumn(SLICE, F.col(SLICE).cast("string"))
 
 
-# Parts of a current table, by a hash of the key: what one batch of changes rewrites.
-BUCKETS = 64
-BUCKET = "bucket"
+def current_table(spark: SparkSession, lake: Lake, spec: TableSpec) -> CurrentTable:
+    return CurrentTable.of(spark, lake.current(spec.name), spec)
 
 
 def read_current(spark: SparkSession, lake: Lake, spec: TableSpec) -> DataFrame:
     """The stored latest version of every key."""
-    return read_table(spark, lake.current(spec.name), spec.schema)
+    return current_table(spark, lake, spec).read()
+
+
+def advance_current(spark: SparkSession, lake: Lake, spec: TableSpec, days: Sequence[str]) -> bool:
+    """Apply what the Silver slices ``days`` hold to the stored current table."""
+    changes = read_slices(spark, lake.silver(spec.name), spec.schema, days)
+    return current_table(spark, lake, spec).apply(changes)
+
+
+ORDER_DAY_SCHEMA = T.StructType(
+    [
+        T.StructField("order_date", T.DateType()),
+        T.StructField("customer_id", T.LongType()),
+        T.StructField("revenue", T.DecimalType(38, 2)),
+        T.StructField("priced", T.LongType()),
+        T.StructField("orders", T.LongType()),
+    ]
+)
 
 
-def advance_current(
-    spark: SparkSession, lake: Lake, spec: TableSpec, days: Sequence[str], date_of: str | None = None
-) -> list[str]:
-    """Apply what the Silver slices ``days`` hold to the stored current table.
+def _order_days(spark: SparkSession, lake: Lake) -> SumTable:
+    keys, sums = ("order_date", "customer_id"), ("revenue", "priced", "orders")
+    return SumTable(spark, lake.order_days, keys, ORDER_DAY_SCHEMA, sums)
 
-    Only the buckets of changed keys are read and rewritten. With ``date_of``, a timestamp
-    column, returns the dates that new and replaced versions of changed rows have in it.
+
+def read_order_days(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Sales per day and customer of the current orders (as `gold.sales_per_customer`)."""
+    days = _order_days(spark, lake).read().filter("orders > 0")
+    # A sum without a priced order is null, as it is over the orders themselves.
+    return days.withColumn("revenue", F.when(F.col("priced") > 0, F.col("revenue")))
+
+
+def advance_order_days(spark: SparkSession, lake: Lake) -> list[str]:
+    """Bring the sales per day and customer up to the current orders, by their log alone: what
+    replaced versions brought is taken off, what new ones bring is added.
+
+    Notes the dates it touches as due in the daily sales, then commits. Its position in
+    the log is part of the commit, so no version counts twice. Returns the dates.
     """
-    path = lake.current(spec.name)
-    schema = T.StructType([*spec.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-    key = F.pmod(F.xxhash64(*spec.key), F.lit(BUCKETS)).cast("int")
-    changes = read_slices(spark, lake.silver(spec.name), spec.schema, days).withColumn(BUCKET, key)
-    touched = sorted(row[0] for row in changes.select(BUCKET).distinct().collect())
-    stored = read_slices(spark, path, schema, [str(b) for b in touched], BUCKET)
-    version = [*spec.key, "updated_at"]
-    fresh = staged(changes.join(stored.select(version), version, "left_anti"), "fresh-changes")
-    touched = sorted(row[0] for row in fresh.select(BUCKET).distinct().collect())
-    if not touched:
+    orders, days = current_table(spark, lake, ORDERS), _order_days(spark, lake)
+    upto = orders.version
+    if upto <= days.position:
         return []
-    stored = read_slices(spark, path, schema, [str(b) for b in touched], BUCKET)
-    dates: list[str] = []
-    if date_of:
-        old = stored.join(fresh.select(*spec.key).distinct(), list(spec.key), "left_semi")
-        both = fresh.select(date_of).unionByName(old.select(date_of))
-        found = both.select(F.to_date(date_of).cast("string").alias("d")).distinct().collect()
+    log = orders.log(days.position)
+    sign = F.col(SIGN)
+    amount = F.when(sign > 0, F.col("total_amount")).otherwise(-F.col("total_amount"))
+    delta = log.groupBy(F.to_date("order_timestamp").alias("order_date"), "customer_id").agg(
+        F.coalesce(F.sum(amount), F.lit(0)).cast("decimal(38,2)").alias("revenue"),
+        F.sum(F.when(F.col("total_amount").isNotNull(), sign).otherwise(0)).alias("priced"),
+        F.sum(sign).alias("orders"),
+    )
+    with staging(delta, "order-days") as delta:
+        found = delta.select(F.col("order_date").cast("string").alias("d")).distinct().collect()
         dates = sorted(row.d for row in found if row.d)
-    merged = staged(apply_changes(stored, fresh, spec), "current")
-    replace_slices(merged, path, BUCKET, [str(b) for b in touched])
+        Ledger(spark, lake.ledger).note("daily_sales", dates)
+        days.add(delta, upto)
+    orders.forget(upto)
     return dates
 
 
@@ -259,34 +299,41 @@ def _silver_events(spark: SparkSession, lake: Lake, days: Sequence[str]) -> Data
 
 
 def build_daily_sales(spark: SparkSession, lake: Lake, days: Sequence[str]) -> int:
-    """Sales of some days, from the current orders and customers; one job for all days."""
-    orders = read_current(spark, lake, ORDERS)
-    wanted = orders.filter(F.to_date("order_timestamp").cast("string").isin(list(days)))
-    sales = gold.daily_sales(wanted, read_current(spark, lake, CUSTOMERS))
-    return replace_slices(sales, lake.gold("gold_daily_sales"), "order_date", days)
+    """Sales of some days, from the sales per day and customer; one job for all days."""
+    wanted = read_order_days(spark, lake).filter(F.col("order_date").isin([date.fromisoformat(d) for d in days]))
+    sales = gold.sales_by_country(wanted, read_current(spark, lake, CUSTOMERS))
+    return publish_slices(sales, lake.gold("gold_daily_sales"), "order_date", days)
 
 
 def build_customer_segments(spark: SparkSession, lake: Lake, snapshot_date: str) -> int:
-    segments = gold.customer_segments(read_current(spark, lake, ORDERS), snapshot_date)
+    """Segments from the sales per day and customer; no order is read."""
+    base = gold.rfm_of_days(read_order_days(spark, lake), snapshot_date)
+    segments = gold.label_segments(gold.rfm_scores(base))
     path = lake.gold("gold_customer_segments")
-    return replace_slice(segments, path, "snapshot_date", snapshot_date)
+    return publish_slices(segments, path, "snapshot_date", [snapshot_date])
 
 
 def build_product_funnel(spark: SparkSession, lake: Lake, days: Sequence[str]) -> int:
     funnel = gold.product_funnel(_silver_events(spark, lake, days))
-    return replace_slices(funnel, lake.gold("gold_product_funnel"), "event_date", days)
+    return publish_slices(funnel, lake.gold("gold_product_funnel"), "event_date", days)
 
 
 def build_hourly_traffic(spark: SparkSession, lake: Lake, days: Sequence[str]) -> int:
     traffic = gold.hourly_traffic(_silver_events(spark, lake, days))
-    return replace_slices(traffic, lake.gold("gold_hourly_traffic"), "event_date", days)
+    return publish_slices(traffic, lake.gold("gold_hourly_traffic"), "event_date", days)
 
 
-def build_inventory_alerts(spark: SparkSession, lake: Lake, **thresholds: float) -> int:
-    """Alerts over all dates of the funnel."""
-    funnel = read_table(spark, lake.gold("gold_product_funnel"))
-    alerts = gold.inventory_alerts(funnel, **thresholds)
-    return replace_table(alerts, lake.gold("gold_inventory_alerts"))
+def build_inventory_alerts(
+    spark: SparkSession, lake: Lake, days: Sequence[str] | None = None, **thresholds: float
+) -> int:
+    """Alerts of some dates of the funnel, whose slices alone are read; by default of all
+    dates, which replaces the whole table."""
+    funnel, path = lake.gold("gold_product_funnel"), lake.gold("gold_inventory_alerts")
+    if days is None:
+        return publish_table(gold.inventory_alerts(read_table(spark, funnel), **thresholds), path, "event_date")
+    schema = read_table(spark, funnel).schema
+    alerts = gold.inventory_alerts(read_slices(spark, funnel, schema, days, "event_date"), **thresholds)
+    return publish_slices(alerts, path, "event_date", days)
 
 
 def check_gold_slice(
@@ -321,6 +368,10 @@ def alert_on_failure(spark: SparkSession, lake: Lake, run_name: str) -> Iterator
         raise
 
 
+def _nothing(stage: str) -> None:
+    pass
+
+
 def run_orders(
     spark: SparkSession,
     lake: Lake,
@@ -328,26 +379,43 @@ def run_orders(
     day: str,
     limit: int | None = None,
     gate: bool = True,
+    after: Callable[[str], None] = _nothing,
 ) -> dict[str, Any]:
     """Ingest, Silver, current tables, sales and segments, quality gate for ``day``.
 
-    Silver is refreshed for every slice the batch touched, and sales for every order
-    date that a new or replaced version of an order has, besides ``day``. A customer's
+    Silver is refreshed for every slice that a batch touched, and sales for every order
+    date that a new or replaced version of an order has, besides ``day``. What a stage has to
+    do is noted until it is done (see `Ledger`), so a run that breaks off is made up for by the
+    next one, for whatever day. ``after`` is told the name of every stage that ends. A customer's
     new country counts for the days that are built from then on.
     """
+    ledger = Ledger(spark, lake.ledger)
     with alert_on_failure(spark, lake, "orders_pipeline"):
         ingested = run_cdc_cycle(spark, lake, sources, limit)
-        silver, dates = {}, {day}
-        for batch in ingested["batches"]:
-            spec = ORDER_TABLES[batch["table_name"]]
-            days = sorted({day, *batch["slices"]})
-            silver[spec.name] = build_silver_table(spark, lake, spec, days)
-            column = "order_timestamp" if spec is ORDERS else None
-            dates.update(advance_current(spark, lake, spec, days, column))
-        marts = {
-            "daily_sales": build_daily_sales(spark, lake, sorted(dates)),
-            "customer_segments": build_customer_segments(spark, lake, day),
-        }
+        after("ingest")
+        silver = {}
+        for spec in ORDER_TABLES.values():
+            due = ledger.due(f"silver-{spec.name}")
+            days = sorted({*due.slices, *([day] if spec.name in sources else [])})
+            if days:
+                silver[spec.name] = build_silver_table(spark, lake, spec, days)
+                ledger.note(f"current-{spec.name}", days)
+                ledger.done(f"silver-{spec.name}", due)
+                after(f"silver-{spec.name}")
+            due = ledger.due(f"current-{spec.name}")
+            if due.slices:
+                advance_current(spark, lake, spec, due.slices)
+                ledger.done(f"current-{spec.name}", due)
+                after(f"current-{spec.name}")
+        advance_order_days(spark, lake)
+        after("order_days")
+        due = ledger.due("daily_sales")
+        dates = sorted({day, *due.slices})
+        sales = build_daily_sales(spark, lake, dates)
+        ledger.done("daily_sales", due)
+        after("daily_sales")
+        marts = {"daily_sales": sales, "customer_segments": build_customer_segments(spark, lake, day)}
+        after("customer_segments")
         report = check_gold_slice(
             spark, lake, "gold_daily_sales", "order_date", day, DAILY_SALES_SUITE
         )
@@ -356,7 +424,7 @@ def run_orders(
     return {
         "ingest": ingested,
         "silver": silver,
-        "days": sorted(dates),
+        "days": dates,
         "gold": marts,
         "quality": report.summary(),
     }
@@ -369,24 +437,41 @@ def run_clickstream(
     day: str,
     require_new: bool = True,
     gate: bool = True,
+    after: Callable[[str], None] = _nothing,
 ) -> dict[str, Any]:
     """Ingest a stream of messages, Silver, funnel, traffic and alerts, quality gate for ``day``.
 
-    All slices landed since the last run are brought up to date, besides ``day``.
+    All slices landed since the last run are brought up to date, besides ``day``; what a
+    stage has to do is noted until it is done, as in `run_orders`.
     """
+    ledger = Ledger(spark, lake.ledger)
+
+    def touched(days: Sequence[str]) -> None:
+        for mart in ("product_funnel", "hourly_traffic"):
+            ledger.note(mart, days)
+
     with alert_on_failure(spark, lake, "clickstream_pipeline"):
         ingested = ingest_available(
             parse_events(messages), lake.bronze_events, lake.events_checkpoint
         )
-        if require_new and not ingested["rows_ingested"]:
+        after("ingest")
+        silver = refresh_landed(spark, lake.bronze_events, lake.silver_events, touched)
+        after("silver")
+        if require_new and not (ingested["rows_ingested"] or silver or ledger.due("product_funnel").slices):
             raise NoNewData("no new events to take in")
-        silver = refresh_landed(spark, lake.bronze_events, lake.silver_events)
-        days = sorted({day, *silver})
-        marts = {
-            "product_funnel": build_product_funnel(spark, lake, days),
-            "hourly_traffic": build_hourly_traffic(spark, lake, days),
-            "inventory_alerts": build_inventory_alerts(spark, lake),
-        }
+        marts = {}
+        for mart, build in (("product_funnel", build_product_funnel), ("hourly_traffic", build_hourly_traffic)):
+            due = ledger.due(mart)
+            days = sorted({day, *due.slices})
+            marts[mart] = build(spark, lake, days)
+            if mart == "product_funnel":
+                ledger.note("inventory_alerts", days)
+            ledger.done(mart, due)
+            after(mart)
+        due = ledger.due("inventory_alerts")
+        marts["inventory_alerts"] = build_inventory_alerts(spark, lake, due.slices)
+        ledger.done("inventory_alerts", due)
+        after("inventory_alerts")
         report = check_gold_slice(
             spark, lake, "gold_product_funnel", "event_date", day, PRODUCT_FUNNEL_SUITE
         )

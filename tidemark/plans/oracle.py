@@ -603,6 +603,10 @@ _SQL = {
     "stream_mixed_landing": "SELECT partition_date, event_id, count(*) AS n FROM events_sent GROUP BY 1, 2",
     "current_orders": "SELECT * EXCLUDE (ingested_at) FROM season_now",
     "job_orders_run": "SELECT * FROM season_sales",
+    "job_orders_recovered": "SELECT * FROM season_sales",
+    "job_order_days": """
+        SELECT CAST(order_timestamp AS DATE) AS order_date, customer_id, sum(total_amount) AS revenue,
+          count(order_id) AS orders FROM season_now GROUP BY 1, 2""",
     "job_segments": "SELECT * FROM season_segments",
     "job_clickstream_run": "SELECT * FROM traffic",
     "job_funnel_alerts": alerts(0.1, 2, 0.4),
@@ -631,6 +635,7 @@ _SQL = {
 # Columns the catalogue shows as text (dates) and as doubles (money).
 _DATES = {"order_date", "event_date", "last_order_date", "snapshot_date"}
 _MONEY = {
+    "revenue",
     "avg_monetary",
     "avg_order_value",
     "line_amount",
@@ -666,6 +671,8 @@ _SHOWN = {
     "job_clickstream_run": ("event_date",),
     "job_funnel_alerts": ("event_date",),
     "job_orders_run": _SALES,
+    "job_orders_recovered": _SALES,
+    "job_order_days": ("order_date", "revenue"),
     "job_segments": _RFM,
     "current_orders": ("total_amount",),
 }

@@ -99,6 +99,36 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(folder).getLength()) if fs.exists(folder) else 0
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it is not there."""
+    fs, folder = _folder(spark, path)
+    return [entry.getPath().getName() for entry in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    fs, place = _folder(spark, path)
+    stream = fs.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small text file in place by one rename; false if there is one of that name."""
+    fs, place = _folder(spark, path)
+    if fs.exists(place):
+        return False
+    _, draft = _folder(spark, f"{place.getParent()}/.{place.getName()}-{uuid.uuid4().hex}")
+    stream = fs.create(draft)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return bool(fs.rename(draft, place))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, folder = _folder(spark, path)
     return bool(fs.exists(folder))

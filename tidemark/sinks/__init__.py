@@ -1,3 +1,13 @@
+from tidemark.sinks.current import CurrentTable
+from tidemark.sinks.manifest import (
+    CommitConflict,
+    RunTable,
+    SumTable,
+    is_managed,
+    publish_slices,
+    publish_table,
+    read_published,
+)
 from tidemark.sinks.tables import (
     BATCH,
     append_counted,
@@ -10,9 +20,17 @@ from tidemark.sinks.tables import (
 
 __all__ = [
     "BATCH",
+    "CommitConflict",
+    "CurrentTable",
+    "RunTable",
+    "SumTable",
     "append_counted",
     "append_observed",
+    "is_managed",
     "land_batch",
+    "publish_slices",
+    "publish_table",
+    "read_published",
     "replace_slice",
     "replace_slices",
     "replace_table",

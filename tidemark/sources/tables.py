@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import utc_date
 from tidemark.session import exists
+from tidemark.sinks.manifest import is_managed, read_published
 from tidemark.spec import SLICE
 
 
@@ -22,7 +23,10 @@ def _is_missing(error: AnalysisException) -> bool:
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, format: str = "parquet"
 ) -> DataFrame:
-    """A stored table. With a schema, a path that does not exist yet is an empty table."""
+    """A stored table, as its manifest has it if there is one. With a schema, a path that does not
+    exist yet is an empty table."""
+    if is_managed(spark, path):
+        return read_published(spark, path, schema)
     reader = spark.read.format(format)
     if schema is None:
         return reader.load(path)
@@ -66,6 +70,8 @@ def read_slices(
     format: str = "parquet",
 ) -> DataFrame:
     """Some slices of a partitioned table; only their folders are listed and read."""
+    if is_managed(spark, path):
+        return read_published(spark, path, schema, values)
     folders = [f"{path}/{column}={value}" for value in dict.fromkeys(values)]
     there = [folder for folder in folders if exists(spark, folder)]
     if not there:
@@ -117,7 +123,7 @@ def register_gold_views(
     registered = []
     for view, place in GOLD_VIEWS.items():
         try:
-            table = spark.read.format(format).load(f"{gold_root}/{place}")
+            table = read_table(spark, f"{gold_root}/{place}", format=format)
         except AnalysisException as error:
             if _is_missing(error):
                 continue

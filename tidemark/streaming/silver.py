@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,11 +47,16 @@ def refresh_silver_events(
 _DONE = schema_of("batch string")
 
 
-def refresh_landed(spark: SparkSession, bronze_path: str, silver_path: str) -> list[str]:
+def refresh_landed(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    then: Callable[[Sequence[str]], None] | None = None,
+) -> list[str]:
     """Refresh the Silver slices of all batches landed since the last refresh; returns them.
 
     What is done is noted after the slices are in place, so a refresh that breaks off is
-    made up for by the next one.
+    made up for by the next one. ``then`` is told the slices before that.
     """
     done_path = f"{silver_path.rstrip('/')}_refreshed"
     done = read_table(spark, done_path, _DONE)
@@ -60,6 +65,8 @@ def refresh_landed(spark: SparkSession, bronze_path: str, silver_path: str) -> l
     days = sorted({row.slice for row in rows})
     if days:
         refresh_silver_events(spark, bronze_path, silver_path, days)
+        if then:
+            then(days)
         batches = sorted({(row.batch,) for row in rows})
         spark.createDataFrame(batches, _DONE).coalesce(1).write.mode("append").parquet(done_path)
     return days
