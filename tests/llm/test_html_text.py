@@ -1,3 +1,5 @@
+from html.parser import HTMLParser
+
 import pytest
 
 from llm_fixtures import llm  # noqa: F401
@@ -77,3 +79,75 @@ def test_fitted_weights_and_edge_cases(llm):
     assert len(texts[5]) == 999_999 and all(r.n_chars == len(r.text) for r in got)
     assert h.extract(df.limit(0), weights).count() == 0
     assert h.fit(df.limit(0)) == h.DEFAULT
+
+
+WORDS = " ".join(f"word{i}" for i in range(60))
+
+
+@pytest.mark.parametrize(
+    "opens",
+    [
+        '<article class="post has-sidebar">', '<div class="content no-sidebar">', '<div id="main" class="film reviews">',
+        '<main class="page tools">', '<div class="post single has-comments">', '<div class="layout side-by-side">',
+        '<article class="comments">', '<section role="alert" id=news-alerts>', '<div data-class="ad" title="class=ad">',
+    ],
+)
+def test_names_do_not_bar_the_article(opens):
+    name = opens[1:].split(" ")[0]
+    page = PAGE.format(article=f"{opens}<p>{WORDS}</p></{name}>")
+    assert h.main_text(page, h.DEFAULT) == WORDS
+
+
+@pytest.mark.parametrize("names", ["class=ad", 'class="box comment-list"', "id=reader-comments", "class='x sidebar'", "role=navigation",
+                                   'class="notice"', "class='cookie_bar'", "hidden", 'style="color:red; display: none"'])
+def test_names_bar_what_stands_in_an_article(names):
+    cut = f"<div {names}>Buy this or that</div>"
+    assert h.main_text(PAGE.format(article=TEXT.replace("<p>Second", cut + "<p>Second")), h.DEFAULT) == CLEAN
+
+
+def test_attributes_end_where_they_end():
+    events = h.events_of("<p><a title=don't>ALPHA BETA</a> it's <i class='a>b' id=\"x'\">GAMMA</i> <b a = c/>delta<p class=")
+    assert [e.text for e in events if not e.kind] == ["ALPHA BETA", " it's ", "GAMMA", " ", "delta"]
+    assert [e.kind for e in events if e.opens] == ["p", "a", "i.a>b", "b", "p"]
+
+
+class Plain(HTMLParser):
+    """The text of a page's article by the standard parser, its blocks joined by one space."""
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.blocks = 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        if tag in h._BLOCK:
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        self.inside -= tag == "article"
+        if tag in h._BLOCK:
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+
+def plain_text(page):
+    parser = Plain()
+    parser.feed(page)
+    return " ".join(b for b in (" ".join(block.split()) for block in parser.blocks) if b)
+
+
+def test_query_equals_a_plain_parser_also_under_planted_names(llm, tmp_path):
+    from tidemark.llm import catalogue
+
+    folder = "/root/testdata/sf0.01"
+    pages = {r.page_id: r.html for r in llm.read.parquet(f"{folder}/pages.parquet").collect()}
+    got = {r.page_id: r.text for r in catalogue.op3_html_extraction(llm, folder).collect()}
+    assert got == {k: plain_text(page) for k, page in pages.items()} and len(got) > 200
+    names = ["post has-sidebar", "entry comments-open", "film reviews", "page tools", "no-ads", "news alert", "menu-card"]
+    planted = [(k, "u", page.replace("<article>", f'<article class="{names[k % 7]}" title=it\'s>')) for k, page in pages.items()]
+    llm.createDataFrame(planted, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    again = {r.page_id: r.text for r in catalogue.op3_html_extraction(llm, str(tmp_path)).collect()}
+    assert again == got

@@ -7,7 +7,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,26 +27,32 @@ _EVENT = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|svg|iframe|object|textarea|select)\b.*?(?:</\1\s*>|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*?)(?:>|\Z)"
     r"|([^<]+|<)",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(
-    r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I
-)
-# What is never part of an article, by element and by the words of class, id and role.
+# A name, and its value in quotes or up to white space.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+# What is never part of an article, by element and by class, id and role. A name of one word
+# counts as a whole; of several words, joined by signs, the first or last one counts.
 _APART = frozenset("head nav footer aside form button dialog menu header title".split())
-_APART_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|"
-    r"nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|toc|"
-    r"header|masthead|topbar|footer|bottom|sidebar|side|aside|rail|complementary|contentinfo|"
-    r"comments?|commentlist|respond|replies|reply|discussion|disqus|reviews?|"
-    r"cookies?|consent|notices?|alerts?|warning|disclaimer|popup|modal|overlay|newsletter|subscribe|"
-    r"subscription|signup|login|search|share|sharing|social|related|recommended|"
-    r"widget|toolbar|tools|hidden|copyright)(?:$|[\s_-])",
-    re.I,
+_ALWAYS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored nav navbar navigation menu breadcrumb "
+    "breadcrumbs pagination pager toc masthead footer sidebar aside complementary contentinfo comment comments "
+    "commentlist respond replies disqus cookie cookies consent popup newsletter".split()
+)
+# The same, unless the element holds most of the page's words: then it is a name of its content.
+_MOSTLY = _ALWAYS | frozenset(
+    "promo promotion banner header topbar bottom side rail reply discussion review reviews notice notices alert "
+    "alerts warning disclaimer modal overlay subscribe subscription signup login search share sharing social "
+    "related recommended widget toolbar tools hidden copyright".split()
 )
+# A name with one of these tells how a page is laid out, not what an element is.
+_STATES = frozenset("has have no not with without is by".split())
+_JOINED = re.compile(r"[-_]+")
 _ARTICLE = frozenset(["article", "main"])
+# No class, id or role sets these apart.
+_WHOLE = _ARTICLE | {"html", "body"}
 _BLOCK = frozenset(
     "address article aside blockquote body br button center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li link main menu meta nav ol "
@@ -64,7 +71,8 @@ class Event:
     text: str = ""
     words: int = 0
     apart: bool = False  # it stands in an element that is never part of an article
-    bars: bool = field(default=False)  # it opens such an element
+    bars: bool = False  # it opens such an element
+    may_bar: bool = False  # it does, unless it holds most of the page's words
 
 
 def events_of(page: str) -> list[Event]:
@@ -81,19 +89,57 @@ def events_of(page: str) -> list[Event]:
             if closing:
                 found.append(Event("/" + name, name, False))
                 continue
+            may_bar = False
             if attributes and not attributes.isspace():
-                values = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(attributes)}
-                if values.get("class"):
-                    kind = f"{name}.{values['class'].split()[0].lower()}" if values["class"].split() else name
-                bars = any(_APART_NAMES.search(values.get(a, "")) for a in ("class", "id", "role"))
+                values = {n.lower(): a or b or c for n, a, b, c in _ATTRIBUTE.findall(attributes)}
+                classes = values.get("class", "").lower().split()
+                if classes:
+                    kind = f"{name}.{classes[0]}"
+                if name not in _WHOLE:
+                    bars, may_bar = _barred([*classes, values.get("id", "").lower(), values.get("role", "").lower()])
                 bars |= "hidden" in values or values.get("aria-hidden", "").lower() == "true"
                 bars |= "display:none" in values.get("style", "").replace(" ", "").lower()
             bars = (bars and name not in ("html", "body")) or name in _APART
-            found.append(Event(kind, name, True, bars=bars and name not in _VOID))
+            inner = name not in _VOID
+            found.append(Event(kind, name, True, bars=bars and inner, may_bar=may_bar and inner))
+    _settle(found)
     _mark_apart(found)
     return found
 
 
+def _barred(names: list[str]) -> tuple[bool, bool]:
+    """Whether one of the names is always that of something apart, and whether mostly."""
+    mostly = False
+    for name in names:
+        if name in _ALWAYS:
+            return True, True
+        words = _JOINED.split(name)
+        mostly |= name in _MOSTLY
+        if len(words) > 1 and not _STATES & set(words):
+            mostly |= words[0] in _MOSTLY or words[-1] in _MOSTLY
+    return False, mostly
+
+
+def _settle(found: list[Event]) -> None:
+    """Elements that mostly are apart are so if they hold at most half of the words that no
+    element which always is apart has, and no article or main part."""
+    doubtful = [k for k, e in enumerate(found) if e.may_bar and not e.bars]
+    if not doubtful:
+        return
+    words = [e.words for e in found]
+    i = 0
+    while i < len(found):
+        end = _end(found, i) if found[i].bars and found[i].name != "header" else i + 1
+        if end > i + 1:
+            words[i:end] = [0] * (end - i)
+        i = end
+    total, upto = sum(words), [0, *accumulate(words)]
+    for k in doubtful:
+        end = _end(found, k)
+        holds = any(e.opens and e.name in _ARTICLE for e in found[k:end])
+        found[k].bars = not holds and 2 * (upto[end] - upto[k]) <= total
+
+
 def _mark_apart(found: list[Event]) -> None:
     inside, i = 0, 0
     while i < len(found):
@@ -276,7 +322,8 @@ def extract(
     Words score positive, tags negative; one scan finds the contiguous region of the
     largest sum. Elements that are never part of an article (menus, headers, footers, sidebars,
     forms, adverts, notices, comments, scripts, styles, what is hidden) neither score
-    nor show. Character references are decoded, white space in a block becomes one
+    nor show; classes, ids and roles tell such elements too, but never an article or main part, and
+    doubtful names not the element that holds most of the words. Character references are decoded, white space in a block becomes one
     space, blocks are trimmed and joined by one space.
 
     Null, empty and wordless pages have the empty text. Pages that break off are read
