@@ -1,0 +1,106 @@
+"""Silver by session against the batch operator over everything taken in."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.plans.silver import to_silver_events
+from tidemark.sinks import manifest as mf
+from tidemark.spec import EVENTS, schema_of
+from tidemark.streaming import SessionStore, read_silver_events
+from tidemark.streaming.session_store import silver_store
+
+COLUMNS = ", ".join(f"{f.name} {f.type}" for f in EVENTS.fields)
+
+
+def event(i, session, kind, minute, delay, copy=0, day="2024-01-15"):
+    at = f"{day} {minute // 60:02}:{minute % 60:02}:00"
+    late = minute + delay
+    taken = f"{day} {late // 60:02}:{late % 60:02}:{copy:02}"
+    return (f"e{i}", session, f"u{session}", kind, at, taken, taken, "/p", i % 7, "c", "de", "web", "mail", i, False, None, day)
+
+
+def shown(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_batches_in_any_order_equal_one_batch(spark, frame, tmp_path, monkeypatch, seed):
+    """With copies in other batches, earlier and later ones, late ones, and of another session."""
+    monkeypatch.setattr(mf, "FAN", 2)
+    rng = random.Random(seed)
+    rows = []
+    for i in range(60):
+        day = rng.choice(["2024-01-15", "2024-01-16"])
+        session, kind, minute = f"s{rng.randrange(9)}", rng.choice(["page_view", "purchase"]), rng.randrange(1200)
+        rows.append(event(i, session, kind, minute, rng.choice([0, 3, 10, 11, 30]), day=day))
+        for c in range(rng.choice([0, 0, 1, 2])):
+            other = session if rng.random() < 0.7 else f"s{rng.randrange(9)}"
+            rows.append(event(i, other, kind, minute, rng.choice([0, 2, 12, 25]), c + 1, day))
+    rng.shuffle(rows)
+    store = SessionStore(spark, str(tmp_path / "s"))
+    for k in range(0, len(rows), 25):
+        batch = frame(COLUMNS, rows[k : k + 25])
+        assert store.apply(batch) == sorted({r[-1] for r in rows[k : k + 25]})
+        if k == 25:
+            store.apply(batch)  # again is as once
+    expected = to_silver_events(frame(COLUMNS, rows))
+    assert shown(store.events().select(expected.columns)) == shown(expected)
+    one_day = expected.filter("partition_date = '2024-01-16'")
+    assert shown(store.events(["2024-01-16"]).select(expected.columns)) == shown(one_day)
+    assert store.events(["1999-01-01"]).isEmpty()
+
+
+def test_an_earlier_late_copy_empties_a_session(spark, frame, tmp_path):
+    store = silver_store(spark, str(tmp_path / "s"))
+    store.apply(frame(COLUMNS, [event(1, "a", "page_view", 60, 9, 5)]))
+    assert store.events().count() == 1
+    # Another session's copy was taken in before: the event is that session's now.
+    store.apply(frame(COLUMNS, [event(1, "b", "page_view", 60, 9, 1)]))
+    assert [r.session_id for r in store.events().collect()] == ["b"]
+    moved = frame(COLUMNS, [event(1, "b", "page_view", 40, 20, 0)]).withColumn("ingestion_timestamp", F.lit("2024-01-15 01:00:00").cast("timestamp"))
+    store.apply(moved)
+    assert store.events().isEmpty()
+
+
+def test_nothing_stored_and_nothing_new(spark, frame, tmp_path):
+    path = str(tmp_path / "s")
+    assert read_silver_events(spark, path).isEmpty()
+    assert silver_store(spark, path).apply(frame(COLUMNS, [])) == []
+    unreadable = frame(COLUMNS, [(None,) * len(EVENTS.fields)])
+    assert silver_store(spark, path).apply(unreadable) == [] and not os.path.exists(path)
+    with pytest.raises(ValueError, match="no published table"):
+        store = silver_store(spark, path)
+        store.apply(frame(COLUMNS, [event(1, "a", "purchase", 5, 0)]))
+        mf.read_published(spark, path, schema_of("event_id string"))
+
+
+def test_a_refresh_writes_the_touched_sessions(spark, tmp_path):
+    """One event for each of 20 of 5,000 sessions of one day."""
+
+    def events(sessions, position):
+        at = F.expr(f"timestamp'2024-01-15 00:00:00' + make_interval(0, 0, 0, 0, 0, {position}, session % 60)")
+        raw = sessions.select(F.col("id").alias("session")).select(
+            F.format_string(f"e%d-{position}", "session").alias("event_id"),
+            F.format_string("s%d", "session").alias("session_id"),
+            F.lit("u").alias("user_id"), F.lit("page_view").alias("event_type"),
+            at.alias("event_timestamp"), at.alias("ingestion_timestamp"), at.alias("bronze_ingested_at"),
+            F.concat(F.lit("/p/"), F.sha2(F.col("session").cast("string"), 256)).alias("page_url"),
+            F.lit("2024-01-15").alias("partition_date"),
+        )
+        missing = [f for f in EVENTS.fields if f.name not in raw.columns]
+        return raw.select("*", *[F.lit(None).cast(f.type).alias(f.name) for f in missing])
+
+    store = silver_store(spark, str(tmp_path / "s"))
+    store.apply(events(spark.range(5000), 1).unionByName(events(spark.range(5000), 2)))
+    total = sum(r["rows"] for r in mf.manifest_of(spark, store.path).entries["runs"])
+    store.apply(events(spark.range(100, 120), 3))
+    runs = mf.manifest_of(spark, store.path).entries["runs"]
+    assert total == 10_000 and [r["rows"] for r in runs] == [10_000, 60]
+    folders = [f"{store.path}/_data/{r['folder']}" for r in runs]
+    sizes = [sum(os.path.getsize(os.path.join(f, n)) for n in os.listdir(f) if n.endswith(".parquet")) for f in folders]
+    assert sizes[1] < 0.1 * sizes[0]
+    counts = {r.session_id: r.session_event_count for r in store.events().collect()}
+    assert len(counts) == 5000 and [counts[f"s{k}"] for k in (99, 100, 119, 120)] == [2, 3, 3, 2]

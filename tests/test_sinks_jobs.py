@@ -10,6 +10,7 @@ from tidemark.sinks import append_counted, append_observed, replace_slice, repla
 from tidemark.sources import read_slice, read_table, register_gold_views
 from tidemark.sources import testdata as td
 from tidemark.spec import EVENTS, ORDERS, SILVER_EVENT_SCHEMA, schema_of
+from tidemark.streaming import read_silver_events
 
 SF = "/root/testdata/sf0.001"
 SLICED = schema_of("id bigint, day string")
@@ -164,7 +165,7 @@ def test_clickstream_run(spark, tmp_path):
 
     result = jobs.run_clickstream(spark, lake, topic(), day)
     assert result["ingest"]["rows_ingested"] == messages.count() and result["quality"]["passed"]
-    silver = spark.read.schema(SILVER_EVENT_SCHEMA).parquet(lake.silver_events)
+    silver = read_silver_events(spark, lake.silver_events)
     assert silver.select("partition_date").distinct().count() > 20
     assert silver.select("event_id").distinct().count() == silver.count() > 0
     assert set(register_gold_views(spark, lake.gold_root)) == {

@@ -5,10 +5,11 @@ from tidemark.plans.silver import to_silver_events
 from tidemark.sources import parse_events, read_events, read_table
 from tidemark.sources import testdata as td
 from tidemark.sources.events import KAFKA_OPTIONS, MESSAGE_SCHEMA
-from tidemark.spec import BRONZE_EVENT_SCHEMA, SILVER_EVENT_SCHEMA
+from tidemark.spec import BRONZE_EVENT_SCHEMA
 from tidemark.streaming import (
     dedup_stream,
     ingest_available,
+    read_silver_events,
     refresh_landed,
     stream_silver_events,
     timely_stream,
@@ -113,7 +114,7 @@ def test_silver_slices_follow_the_stream(spark, topic, parsed, tmp_path):
     assert refresh_landed(spark, bronze, silver) and refresh_landed(spark, bronze, silver) == []
     taken_in = F.col("ingestion_timestamp")
     expected = to_silver_events(parsed.withColumn("bronze_ingested_at", taken_in))
-    found = read_table(spark, silver, SILVER_EVENT_SCHEMA)
+    found = read_silver_events(spark, silver)
     columns = [c for c in expected.columns if c != "bronze_ingested_at"]
     assert rows(found.select(columns)) == rows(expected.select(columns))
 
@@ -151,6 +152,6 @@ def test_landing_leaves_days_alone_until_the_refresh(spark, topic, tmp_path):
         stream(spark, topic), bronze, silver, str(tmp_path / "offsets"), BOUNDED, refresh_every=100
     )
     drain(query)
-    assert read_table(spark, silver, SILVER_EVENT_SCHEMA).count() == 0
+    assert read_silver_events(spark, silver).count() == 0
     days = refresh_landed(spark, bronze, silver)
     assert days == sorted(r.slice for r in landed_slices(spark, bronze).select("slice").distinct().collect())

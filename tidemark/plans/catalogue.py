@@ -52,7 +52,6 @@ from tidemark.spec import (
     CUSTOMERS,
     ORDERS,
     PRODUCTS,
-    SILVER_EVENT_SCHEMA,
     SLICE,
     order_table,
 )
@@ -60,6 +59,7 @@ from tidemark.sources.events import MESSAGE_SCHEMA
 from tidemark.streaming import (
     dedup_stream,
     ingest_available,
+    read_silver_events,
     refresh_landed,
     stream_silver_events,
     timely_stream,
@@ -478,7 +478,7 @@ def stream_silver_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = parse_events(_message_files(spark, sf_dir))
     drain(stream_silver_events(events, bronze, silver, checkpoint, BOUNDED, refresh_every=2))
     refresh_landed(spark, bronze, silver)
-    return read_table(spark, silver, SILVER_EVENT_SCHEMA).drop("bronze_ingested_at")
+    return read_silver_events(spark, silver).drop("bronze_ingested_at")
 
 
 # --- jobs ---------------------------------------------------------------------------

@@ -52,12 +52,16 @@ from tidemark.spec import (
     CUSTOMERS,
     ORDER_TABLES,
     ORDERS,
-    SILVER_EVENT_SCHEMA,
     SLICE,
     TableSpec,
     schema_of,
 )
-from tidemark.streaming import ingest_available, refresh_landed, refresh_silver_events
+from tidemark.streaming import (
+    ingest_available,
+    read_silver_events,
+    refresh_landed,
+    refresh_silver_events,
+)
 
 
 class NoNewData(RuntimeError):
@@ -290,12 +294,12 @@ def build_silver_orders(
     return {name: build_silver_table(spark, lake, spec, days) for name, spec in specs.items()}
 
 
-def build_silver_events(spark: SparkSession, lake: Lake, days: Sequence[str]) -> int:
+def build_silver_events(spark: SparkSession, lake: Lake, days: Sequence[str]) -> list[str]:
     return refresh_silver_events(spark, lake.bronze_events, lake.silver_events, days)
 
 
 def _silver_events(spark: SparkSession, lake: Lake, days: Sequence[str]) -> DataFrame:
-    return read_slices(spark, lake.silver_events, SILVER_EVENT_SCHEMA, days)
+    return read_silver_events(spark, lake.silver_events, days)
 
 
 def build_daily_sales(spark: SparkSession, lake: Lake, days: Sequence[str]) -> int:

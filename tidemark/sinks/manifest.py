@@ -120,6 +120,8 @@ def read_published(
 ) -> DataFrame:
     """A published table, or some of its slices, as the newest manifest has it."""
     entries = manifest_of(spark, path).entries
+    if "slices" not in entries:
+        raise ValueError(f"{path} is no published table; a table of runs is read by its own class")
     schema = schema or T.StructType.fromJson(json.loads(entries["schema"]))
     column, held = entries.get("column"), entries.get("slices", {})
     wanted = held if values is None else [v for v in dict.fromkeys(map(str, values)) if v in held]

@@ -6,14 +6,16 @@ from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import drop_late, standardise
-from tidemark.plans.silver import to_silver_events
-from tidemark.sinks import replace_slices
+from tidemark.sinks import BATCH
 from tidemark.sources import read_slices, read_table
 from tidemark.spec import BRONZE_EVENT_SCHEMA, EVENTS, SLICE, schema_of
 from tidemark.streaming.ingest import CONTINUOUS, lander, landed_slices
+from tidemark.streaming.session_store import silver_store
 
 
 def dedup_stream(
@@ -38,10 +40,9 @@ def timely_stream(bronze: DataFrame) -> DataFrame:
 
 def refresh_silver_events(
     spark: SparkSession, bronze_path: str, silver_path: str, days: Sequence[str]
-) -> int:
-    """Recompute whole Silver slices from Bronze; one job for all of them."""
-    wanted = read_slices(spark, bronze_path, BRONZE_EVENT_SCHEMA, days)
-    return replace_slices(to_silver_events(wanted), silver_path, SLICE, days)
+) -> list[str]:
+    """Bring whole Silver days up to date from Bronze; returns those that have events."""
+    return silver_store(spark, silver_path).apply(read_slices(spark, bronze_path, BRONZE_EVENT_SCHEMA, days))
 
 
 _DONE = schema_of("batch string")
@@ -53,7 +54,9 @@ def refresh_landed(
     silver_path: str,
     then: Callable[[Sequence[str]], None] | None = None,
 ) -> list[str]:
-    """Refresh the Silver slices of all batches landed since the last refresh; returns them.
+    """Take all batches landed since the last refresh to Silver; returns the slices they touch.
+
+    Only the rows of those batches are read, and only the sessions they touch rewritten.
 
     What is done is noted after the slices are in place, so a refresh that breaks off is
     made up for by the next one. ``then`` is told the slices before that.
@@ -64,10 +67,12 @@ def refresh_landed(
     rows = new.collect()
     days = sorted({row.slice for row in rows})
     if days:
-        refresh_silver_events(spark, bronze_path, silver_path, days)
+        batches = sorted({(row.batch,) for row in rows})
+        schema = T.StructType([*BRONZE_EVENT_SCHEMA.fields, T.StructField(BATCH, T.StringType())])
+        landed = read_slices(spark, bronze_path, schema, days)
+        silver_store(spark, silver_path).apply(landed.filter(F.col(BATCH).isin([b for (b,) in batches])))
         if then:
             then(days)
-        batches = sorted({(row.batch,) for row in rows})
         spark.createDataFrame(batches, _DONE).coalesce(1).write.mode("append").parquet(done_path)
     return days
 
@@ -80,11 +85,11 @@ def stream_silver_events(
     trigger: Mapping[str, Any] = CONTINUOUS,
     refresh_every: int = 20,
 ) -> StreamingQuery:
-    """Land each micro-batch, and after every ``refresh_every`` of them refresh the Silver
-    slices touched since the last time.
+    """Land each micro-batch, and after every ``refresh_every`` of them take those landed since
+    the last time to Silver.
 
-    Landing never rewrites a day; the work of refreshing is that of ``refresh_every`` batches
-    at once. What a run leaves open when it ends is done by `refresh_landed`.
+    Landing never rewrites a day, and refreshing rewrites the sessions that ``refresh_every``
+    batches touched. What a run leaves open when it ends is done by `refresh_landed`.
     """
 
     def refresh(spark: SparkSession, number: int) -> None:
