@@ -174,3 +174,16 @@ def test_gates_and_constraints_name_real_columns(frame):
     assert len(PRODUCT_FUNNEL_SUITE) == 5
     keys = frame("customer_id bigint", [(1,)])
     assert set(constraint_suites(keys, keys, keys)) == {"customers", "products", "orders", "order_items"}
+
+
+def test_all_foreign_keys_of_a_child_in_one_pass(spark, frame, tmp_path):
+    path = str(tmp_path / "lines")
+    frame("line bigint, ship int, port string", [(1, 4, "oslo"), (2, 5, "rome"), (3, None, "oslo"), (4, 9, None), (5, 9, "kiel")]).write.parquet(path)
+    lines = spark.read.parquet(path)
+    ships, ports = frame("id bigint", [(4,), (5,), (5,)]), frame("name string", [("oslo",), ("kiel",)])
+    keys = [ForeignKey("ship", ships, "id"), ForeignKey("port", ports, "name"), ForeignKey("line", ships, "id")]
+    results = check_suite(lines, "lines", keys)
+    assert plan_of(results).count("FileScan") == 1
+    report = run_suite(lines, "lines", [keys[0], RowCount(5), *keys[1:]])
+    assert metrics(report) == [(False, 2), (True, 5), (False, 1), (False, 3)]
+    assert metrics(run_suite(lines.limit(0), "lines", keys)) == [(True, 0)] * 3

@@ -7,6 +7,7 @@ from tidemark.sources import testdata as td
 from tidemark.sources.events import KAFKA_OPTIONS, MESSAGE_SCHEMA
 from tidemark.spec import BRONZE_EVENT_SCHEMA
 from tidemark.streaming import (
+    KeyedLanding,
     dedup_stream,
     ingest_available,
     read_silver_events,
@@ -155,3 +156,31 @@ def test_landing_leaves_days_alone_until_the_refresh(spark, topic, tmp_path):
     assert read_silver_events(spark, silver).count() == 0
     days = refresh_landed(spark, bronze, silver)
     assert days == sorted(r.slice for r in landed_slices(spark, bronze).select("slice").distinct().collect())
+
+
+@pytest.fixture(scope="module")
+def shuffled(spark, tmp_path_factory):
+    """Messages in six files whose rows are in no order."""
+    path = str(tmp_path_factory.mktemp("shuffled") / "topic")
+    messages = td.messages(td.table(spark, SF, "events"))
+    messages.repartition(6, F.hash("key", F.lit(3)) if "key" in messages.columns else F.rand(3)).write.parquet(path)
+    return path
+
+
+def test_keyed_landing_loses_nothing_and_keeps_no_copy(spark, shuffled, parsed, tmp_path):
+    landing = KeyedLanding(*(str(tmp_path / n) for n in ("kept", "late", "index")))
+    options = {"path": shuffled, "maxFilesPerTrigger": "1"}
+    events = parse_events(read_events(spark, "parquet", options, MESSAGE_SCHEMA))
+    assert drain(landing.start(events, str(tmp_path / "offsets"), BOUNDED))["rows_ingested"] == parsed.count()
+    kept, late = (read_table(spark, p, BRONZE_EVENT_SCHEMA) for p in (landing.path, landing.late_path))
+    both = kept.unionByName(late)
+    assert rows(both.select("event_id")) == rows(parsed.select("event_id").distinct())
+    counts = landing.counts(spark)
+    assert counts["rows"] == parsed.count() and counts["late"] == late.count() > 0 and counts["kept"] == kept.count()
+    assert counts["copies"] == parsed.count() - both.count()
+    # A batch that is run again replaces itself, and copies of it in other batches stay out.
+    again = parse_events(spark.read.parquet(shuffled)).limit(0).unionByName(both.drop("bronze_ingested_at"), allowMissingColumns=True)
+    landing.take(again.withColumn("bronze_ingested_at", F.current_timestamp()).select(kept.columns), "other", 0)
+    landing.take(again.withColumn("bronze_ingested_at", F.current_timestamp()).select(kept.columns), "other", 0)
+    after = [read_table(spark, p, BRONZE_EVENT_SCHEMA).count() for p in (landing.path, landing.late_path)]
+    assert sum(after) == both.count()

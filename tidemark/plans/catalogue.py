@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import contextlib
 import functools
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,7 @@ from tidemark.quality import (
     ForeignKey,
     Freshness,
     NullRate,
+    QualityError,
     RowCount,
     ValueRange,
     alert_rows,
@@ -39,17 +41,19 @@ from tidemark.quality import (
     run_suite,
 )
 from tidemark.quality.suites import (
+    ALERTS_SUITE,
     DAILY_SALES_SUITE,
     PRODUCT_FUNNEL_SUITE,
     constraint_suites,
 )
 from tidemark.session import exists, folder_bytes, scratch_path, staged, tune
-from tidemark.sinks import append_counted, replace_slices
+from tidemark.sinks import append_counted, publish_slices, publish_table, replace_slices
 from tidemark.sources import parse_events, read_events, read_table, register_gold_views
 from tidemark.sources import testdata as td
 from tidemark.spec import (
     BRONZE_EVENT_SCHEMA,
     CUSTOMERS,
+    EVENTS,
     ORDERS,
     PRODUCTS,
     SLICE,
@@ -57,12 +61,14 @@ from tidemark.spec import (
 )
 from tidemark.sources.events import MESSAGE_SCHEMA
 from tidemark.streaming import (
+    KeyedLanding,
     dedup_stream,
     ingest_available,
     read_silver_events,
     refresh_landed,
     stream_silver_events,
     timely_stream,
+    write_stream,
 )
 from tidemark.streaming.ingest import BOUNDED, drain, land
 
@@ -168,6 +174,15 @@ def cdc_high_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return high_watermark(td.orders(spark, sf_dir), "updated_at", ["order_id"])
 
 
+@query
+def cdc_watermark_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The position after a poll that finds nothing: that of the poll before."""
+    feed = td.orders(spark, sf_dir)
+    position = high_watermark(feed, "updated_at", ["order_id"]).first().asDict()
+    nothing = changes_after(feed, "updated_at", ["order_id"], position)
+    return high_watermark(nothing, "updated_at", ["order_id"], fallback=position)
+
+
 @query
 def cdc_apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = standardise(td.orders(spark, sf_dir), ORDERS)
@@ -370,6 +385,56 @@ def dq_suite_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_suite(_funnel(spark, sf_dir), "gold_product_funnel", PRODUCT_FUNNEL_SUITE)
 
 
+@query
+def dq_dictionary_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel's suite given as plain dictionaries."""
+    suite = [
+        {"check_type": "row_count", "min_row_count": 1},
+        {"check_type": "null_rate", "column_name": "product_id", "max_null_rate": 0.0},
+        {"check_type": "duplicate_rate", "key_columns": ["event_date", "product_id"], "max_duplicate_rate": 0.0},
+        {"check_type": "value_range", "column_name": "cart_abandonment_rate", "min_value": 0, "max_value": 1},
+        {"check_type": "value_range", "column_name": "view_to_purchase_rate", "min_value": 0, "max_value": 1},
+    ]
+    return check_suite(_funnel(spark, sf_dir), "gold_product_funnel", suite)
+
+
+@query
+def dq_gate_raises(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate says of a suite that fails."""
+    report = run_suite(_funnel(spark, sf_dir), "gold_product_funnel", PRODUCT_FUNNEL_SUITE)
+    said = None
+    try:
+        report.raise_if_failed()
+    except QualityError as error:
+        said = str(error)
+    return spark.createDataFrame([(report.table_name, said)], "table_name string, error string")
+
+
+@query
+def dq_alert_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared constraints of the alert table, its severity domain among them, over the
+    stored alerts of funnel rows and one of an unknown severity."""
+    path = scratch_path(spark, "alerts")
+    results = check_suite(_funnel(spark, sf_dir), "gold_product_funnel", PRODUCT_FUNNEL_SUITE)
+    append_counted(alert_rows(results, AS_OF), path, None)
+    odd = alert_rows(results, AS_OF).withColumn("severity", F.lit("AWFUL")).filter("alert_type = 'check_value_range'")
+    append_counted(odd, path, None)
+    return check_suite(read_table(spark, path, ALERT_SCHEMA), "alerts", ALERTS_SUITE)
+
+
+@query
+def schema_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is said of a Bronze table without a needed column, per missing column."""
+    bronze, said = td.bronze_events(spark, sf_dir), []
+    for column in ("event_id", "page_url"):
+        try:
+            standardise(bronze.drop(column), EVENTS)
+        except ValueError as error:
+            said.append((column, str(error)))
+    messages = spark.createDataFrame(said, "missing string, error string")
+    return messages.join(bronze.agg(F.count("*").alias("bronze_rows")), F.lit(True))
+
+
 @query
 def dq_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared constraints of the source, on the current rows (all rows for order items)."""
@@ -460,6 +525,37 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_dedup_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies over several micro-batches with the delay of ten minutes: what comes later than
+    that is set aside once, so both tables together hold every event once."""
+    places = (scratch_path(spark, name) for name in ("deduped", "late", "index"))
+    landing, checkpoint = KeyedLanding(*places), scratch_path(spark, "offsets")
+    drain(landing.start(parse_events(_message_files(spark, sf_dir)), checkpoint, BOUNDED))
+    both = [read_table(spark, p, BRONZE_EVENT_SCHEMA) for p in (landing.path, landing.late_path)]
+    return both[0].unionByName(both[1]).select(
+        "event_id", "session_id", "user_id", "event_timestamp", "product_id", SLICE
+    )
+
+
+@query
+def stream_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages landed by the continuous trigger, stopped after its first input and started
+    again on its offsets."""
+    path, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "offsets")
+    events = parse_events(_message_files(spark, sf_dir))
+    for _ in range(2):
+        running = write_stream(events, path, checkpoint, {"processingTime": "0 seconds"})
+        try:
+            if exists(spark, path):
+                running.processAllAvailable()
+            while not exists(spark, path) and running.isActive:
+                time.sleep(0.05)
+        finally:
+            running.stop()
+    return read_table(spark, path, BRONZE_EVENT_SCHEMA).drop("bronze_ingested_at")
+
+
 @query
 def stream_timely(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = scratch_path(spark, "timely"), scratch_path(spark, "offsets")
@@ -627,6 +723,36 @@ def job_orders_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, lake.gold("gold_daily_sales"))
 
 
+@query
+def gold_slice_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate's report of one stored day of the funnel, and the alerts it leaves."""
+    lake = _clickstream_lake(spark, sf_dir)
+    kept = jobs.Lake(scratch_path(spark, "lake"))
+    funnel = read_table(spark, lake.gold("gold_product_funnel"))
+    publish_slices(funnel.filter(F.col("event_date") == F.lit(EVENT_DAY).cast("date")), kept.gold("gold_product_funnel"), "event_date", [EVENT_DAY])
+    report = jobs.check_gold_slice(spark, kept, "gold_product_funnel", "event_date", EVENT_DAY, PRODUCT_FUNNEL_SUITE)
+    stored = read_table(spark, kept.alerts, ALERT_SCHEMA)
+    alerts = stored.groupBy(F.col("alert_type").alias("check_name"), F.col("alert_message").alias("message")).agg(
+        F.count("*").alias("alerts")
+    )
+    rows = [(r.check_name, r.passed, float(r.metric_value), r.message) for r in report.results]
+    told = spark.createDataFrame(rows, "check_name string, passed boolean, metric_value double, message string")
+    return told.join(alerts, ["check_name", "message"], "left").withColumn("alerts", F.coalesce("alerts", F.lit(0)))
+
+
+@query
+def job_alerts_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts built date by date from the funnel's slices, one date twice."""
+    lake = _clickstream_lake(spark, sf_dir)
+    mine = jobs.Lake(scratch_path(spark, "lake"))
+    funnel = read_table(spark, lake.gold("gold_product_funnel"))
+    publish_table(funnel, mine.gold("gold_product_funnel"), "event_date")
+    days = sorted(str(r.event_date) for r in funnel.select("event_date").distinct().collect())
+    for part in (days[::2], days[1::2], days[:1]):
+        jobs.build_inventory_alerts(spark, mine, part, min_rate=0.1, min_carts=2, high_rate=0.4)
+    return read_table(spark, mine.gold("gold_inventory_alerts"))
+
+
 @query
 def job_order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders and money per day and customer, moved on by the log of the current orders alone."""
@@ -676,7 +802,7 @@ def report_from_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The runner's report of a suite given as dictionaries, and what its gate would say."""
+    """The runner's report of a suite, and how much of it failed."""
     report = run_suite(_funnel(spark, sf_dir), "gold_product_funnel", PRODUCT_FUNNEL_SUITE)
     summary = report.summary()
     row = (
@@ -708,9 +834,11 @@ def dq_alert_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_failure_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run that breaks off leaves an alert."""
+    """A run that breaks off, as its gate finds no sales for the day, leaves an alert."""
     lake = jobs.Lake(scratch_path(spark, "lake"))
-    count = _orders(spark, sf_dir).count()
-    with contextlib.suppress(RuntimeError), jobs.alert_on_failure(spark, lake, "probe"):
-        raise RuntimeError(f"{count} orders")
-    return read_table(spark, lake.alerts, ALERT_SCHEMA).select("severity", "alert_type", "alert_message")
+    feed = {k: _season_feeds(spark, sf_dir)[1][k] for k in ("customers", "orders")}
+    with contextlib.suppress(QualityError):
+        jobs.run_orders(spark, lake, feed, "2030-01-01")
+    return read_table(spark, lake.alerts, ALERT_SCHEMA).select("severity", "alert_type", "alert_message").filter(
+        "severity = 'CRITICAL'"
+    )

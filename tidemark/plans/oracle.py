@@ -404,6 +404,39 @@ FUNNEL_SUITE = [
 ]
 
 
+def union(checks: list[str]) -> str:
+    return " UNION ALL ".join(checks)
+
+
+DAY_FUNNEL = f"(SELECT * FROM funnel WHERE event_date = DATE '{EVENT_DAY}')"
+DAY_SUITE = [
+    row_count_check(1, "gold_product_funnel", DAY_FUNNEL, 1),
+    null_check(2, "gold_product_funnel", DAY_FUNNEL, "product_id"),
+    duplicate_check(3, "gold_product_funnel", DAY_FUNNEL, ("event_date", "product_id")),
+    range_check(4, "gold_product_funnel", DAY_FUNNEL, "cart_abandonment_rate", 0, 1),
+    range_check(5, "gold_product_funnel", DAY_FUNNEL, "view_to_purchase_rate", 0, 1),
+]
+DOMAIN = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
+STORED_ALERTS = f"""(
+    SELECT 'quality_runner' AS alert_source, check_name AS alert_type, unnest(CASE WHEN
+      check_name = 'check_value_range' THEN ['HIGH', 'AWFUL'] ELSE ['HIGH'] END) AS severity, message AS alert_message
+    FROM ({union(FUNNEL_SUITE)}) WHERE NOT passed)"""
+ALERT_CHECKS = [
+    *[
+        null_check(k, "alerts", STORED_ALERTS, c)
+        for k, c in enumerate(("alert_source", "alert_type", "severity", "alert_message"), start=1)
+    ],
+    violation_check(
+        5,
+        "allowed_values",
+        "alerts",
+        STORED_ALERTS,
+        f"severity NOT IN {DOMAIN}",
+        f"with severity not in {', '.join(DOMAIN)}",
+    ),
+]
+
+
 def constraint_checks() -> list[str]:
     sources = {
         "customers": "customers_now",
@@ -451,10 +484,6 @@ def constraint_checks() -> list[str]:
     return checks
 
 
-def union(checks: list[str]) -> str:
-    return " UNION ALL ".join(checks)
-
-
 def mean_rate(column: str) -> str:
     total = f"sum(CAST(round({column} * 1000000000000) AS HUGEINT))"
     return half_up(total, "count(*) * 1000000000000", 4)
@@ -486,6 +515,9 @@ _SQL = {
     "cdc_high_watermark": """
         SELECT updated_at, order_id FROM orders_feed
         ORDER BY updated_at DESC, order_id DESC LIMIT 1""",
+    "cdc_watermark_fallback": """
+        SELECT updated_at, order_id FROM orders_feed
+        ORDER BY updated_at DESC, order_id DESC LIMIT 1""",
     "cdc_apply_changes": "SELECT * FROM orders_now",
     "silver_customers": one_by("customer_id, partition_date", LATEST, "customers_std"),
     "silver_products": one_by("product_id, partition_date", LATEST, "products_std"),
@@ -566,6 +598,16 @@ _SQL = {
     ),
     "dq_suite_orders": union(SALES_SUITE),
     "dq_suite_events": union(FUNNEL_SUITE),
+    "dq_dictionary_suite": union(FUNNEL_SUITE),
+    "dq_gate_raises": f"""
+        SELECT 'gold_product_funnel' AS table_name,
+          concat('gold_product_funnel: ', string_agg(message, '; ' ORDER BY check_no)) AS error
+        FROM ({union(FUNNEL_SUITE)}) WHERE NOT passed""",
+    "dq_alert_constraints": union(ALERT_CHECKS),
+    "schema_refused": """
+        SELECT c AS missing, concat('events: missing columns [', chr(39), c, chr(39), ']') AS error,
+          (SELECT count(*) FROM events_sent) AS bronze_rows
+        FROM (VALUES ('event_id'), ('page_url')) t(c)""",
     "dq_constraints": union(constraint_checks()),
     "dq_alert_rows": f"""
         SELECT 'quality_runner' AS alert_source, check_name AS alert_type, 'HIGH' AS severity,
@@ -592,6 +634,10 @@ _SQL = {
     "stream_dedup": """
         SELECT DISTINCT event_id, session_id, user_id, event_timestamp, product_id, partition_date
         FROM events_sent""",
+    "stream_dedup_indexed": """
+        SELECT DISTINCT event_id, session_id, user_id, event_timestamp, product_id, partition_date
+        FROM events_sent""",
+    "stream_continuous": f"SELECT {LANDED} FROM events_sent",
     "stream_timely": """
         SELECT event_id, event_type, event_timestamp, ingestion_timestamp, country_code,
           partition_date
@@ -603,6 +649,10 @@ _SQL = {
     "stream_mixed_landing": "SELECT partition_date, event_id, count(*) AS n FROM events_sent GROUP BY 1, 2",
     "current_orders": "SELECT * EXCLUDE (ingested_at) FROM season_now",
     "job_orders_run": "SELECT * FROM season_sales",
+    "gold_slice_report": f"""
+        SELECT check_name, passed, metric_value, message, CAST(CASE WHEN passed THEN 0 ELSE 1 END AS BIGINT) AS alerts
+        FROM ({union(DAY_SUITE)})""",
+    "job_alerts_by_day": alerts(0.1, 2, 0.4),
     "job_orders_recovered": "SELECT * FROM season_sales",
     "job_order_days": """
         SELECT CAST(order_timestamp AS DATE) AS order_date, customer_id, sum(total_amount) AS revenue,
@@ -623,7 +673,13 @@ _SQL = {
         FROM ({union(FUNNEL_SUITE)}) WHERE NOT passed""",
     "dq_failure_alert": """
         SELECT 'CRITICAL' AS severity, 'pipeline_failure' AS alert_type,
-          concat('probe failed: ', count(*), ' orders') AS alert_message FROM orders_now""",
+          concat('orders_pipeline failed: gold_daily_sales: ', string_agg(message, '; ' ORDER BY k)) AS alert_message
+        FROM (
+          SELECT count(*) AS n FROM season_sales WHERE order_date = DATE '2030-01-01'
+        ), (VALUES (1, 'gold_daily_sales has 0 rows, at least 1 expected'),
+          (2, 'gold_daily_sales is empty, no null rate of country'),
+          (3, 'gold_daily_sales is empty, no duplicate rate on order_date, country')) said(k, message)
+        WHERE n = 0""",
     "dq_report": f"""
         SELECT table_name, bool_and(passed) AS passed, count(*) AS total_checks,
           count(*) FILTER (passed) AS passed_checks, count(*) FILTER (NOT passed) AS failed_checks
@@ -670,6 +726,7 @@ _SHOWN = {
     "job_clickstream_day": ("event_date",),
     "job_clickstream_run": ("event_date",),
     "job_funnel_alerts": ("event_date",),
+    "job_alerts_by_day": ("event_date",),
     "job_orders_run": _SALES,
     "job_orders_recovered": _SALES,
     "job_order_days": ("order_date", "revenue"),

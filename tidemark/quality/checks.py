@@ -6,12 +6,14 @@ values. It runs nothing itself, so a suite can compute all measures in one job.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS = "rows"
 
@@ -202,27 +204,41 @@ class ForeignKey(Check):
     parent_column: str
     check_name = "check_referential_integrity"
 
-    def orphan_rows(self, child: DataFrame) -> DataFrame:
-        """One row with the number of child rows without a parent.
-
-        The child is counted per key before it meets the parent, so a key shared by
-        a large part of the rows is one row in the join.
-        """
-        per_key = child.groupBy(F.col(self.column).alias("_key")).agg(
-            F.count(F.lit(1)).alias("_n")
-        )
-        parents = self.parent.select(F.col(self.parent_column).alias("_key"))
-        return (
-            per_key.filter(F.col("_key").isNotNull())
-            .join(parents, "_key", "left_anti")
-            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphans"))
-        )
-
     def judge(self, table: str, measured: Mapping[str, Column]) -> Verdict:
         what = f"with {self.column} missing from parent column {self.parent_column}"
         return _violations(measured["orphans"], what)
 
 
+def _key_text(child: DataFrame, key: ForeignKey) -> tuple[Column, Column]:
+    """Child and parent key as text; numbers of different types are equal as numbers."""
+    kinds = child.schema[key.column].dataType, key.parent.schema[key.parent_column].dataType
+    sides = F.col(key.column), F.col(key.parent_column)
+    if kinds[0] != kinds[1] and all(isinstance(k, T.NumericType) for k in kinds):
+        sides = tuple(c.cast("decimal(38,9)") for c in sides)
+    return sides[0].cast("string"), sides[1].cast("string")
+
+
+def orphan_counts(child: DataFrame, keys: Sequence[ForeignKey]) -> DataFrame:
+    """One row with ``orphans_0``, ``orphans_1``, ...: the child rows that lack each parent.
+
+    All keys go through one pass over the child: its key columns become rows tagged with the
+    constraint, are counted per value, and what is left meets the tagged keys of all
+    parents in one anti join. A value shared by a large part of the rows is one row there.
+    """
+    texts = [_key_text(child, key) for key in keys]
+    tagged = F.array(*[F.struct(F.lit(k).alias("_fk"), c.alias("_key")) for k, (c, _) in enumerate(texts)])
+    counted = (
+        child.select(F.inline(tagged)).filter("_key IS NOT NULL").groupBy("_fk", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    held = [
+        key.parent.select(F.lit(k).alias("_fk"), p.alias("_key"))
+        for k, (key, (_, p)) in enumerate(zip(keys, texts, strict=True))
+    ]
+    lacking = counted.join(functools.reduce(DataFrame.unionByName, held), ["_fk", "_key"], "left_anti")
+    sums = [F.sum(F.when(F.col("_fk") == k, F.col("_n"))) for k in range(len(keys))]
+    return lacking.agg(*[F.coalesce(n, F.lit(0)).alias(f"orphans_{k}") for k, n in enumerate(sums)])
+
+
 # Check names and argument names of suites given as plain dictionaries.
 _CONFIG: dict[str, tuple[Callable[..., Check], Sequence[str]]] = {
     "null_rate": (NullRate, ("column_name", "max_null_rate")),

@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from tidemark.quality.checks import ROWS, Check, ForeignKey, check_from_config
+from tidemark.quality.checks import ROWS, Check, ForeignKey, check_from_config, orphan_counts
 
 
 class QualityError(RuntimeError):
@@ -80,8 +80,8 @@ def check_suite(
 ) -> DataFrame:
     """One row per check. Lazy.
 
-    All measures of the table come from a single aggregate; only foreign keys, which
-    meet another table, are aggregates of their own. ``as_of`` stands in for the
+    All measures of the table come from a single aggregate; the foreign keys, which
+    meet other tables, are one more (see `orphan_counts`). ``as_of`` stands in for the
     clock in freshness checks.
     """
     if not checks:
@@ -91,11 +91,10 @@ def check_suite(
     measures: dict[str, Column] = {ROWS: F.count(F.lit(1))}
     verdicts: list[Column] = []
     parts: list[DataFrame] = []
+    foreign: list[tuple[int, ForeignKey]] = []
     for number, check in enumerate(checks, start=1):
         if isinstance(check, ForeignKey):
-            verdict = check.judge(table, {"orphans": F.col("orphans")})
-            row = verdict.as_struct(number, check.check_name, table)
-            parts.append(check.orphan_rows(df).select(F.inline(F.array(row))))
+            foreign.append((number, check))
             continue
         wanted = {f"m{number}_{name}": m for name, m in check.measures(now).items()}
         measures.update(wanted)
@@ -104,7 +103,14 @@ def check_suite(
         verdicts.append(verdict.as_struct(number, check.check_name, table))
     if verdicts:
         fused = df.agg(*[measure.alias(name) for name, measure in measures.items()])
-        parts.insert(0, fused.select(F.inline(F.array(*verdicts))))
+        parts.append(fused.select(F.inline(F.array(*verdicts))))
+    if foreign:
+        found = [
+            check.judge(table, {"orphans": F.col(f"orphans_{k}")}).as_struct(number, check.check_name, table)
+            for k, (number, check) in enumerate(foreign)
+        ]
+        orphans = orphan_counts(df, [check for _, check in foreign])
+        parts.append(orphans.select(F.inline(F.array(*found))))
     return functools.reduce(DataFrame.unionByName, parts)
 
 

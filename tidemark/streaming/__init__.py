@@ -1,4 +1,5 @@
 from tidemark.streaming.ingest import ingest_available, landed_slices, write_stream
+from tidemark.streaming.keyed import KeyedLanding
 from tidemark.streaming.session_store import SessionStore, read_silver_events
 from tidemark.streaming.silver import (
     dedup_stream,
@@ -9,6 +10,7 @@ from tidemark.streaming.silver import (
 )
 
 __all__ = [
+    "KeyedLanding",
     "SessionStore",
     "dedup_stream",
     "ingest_available",
