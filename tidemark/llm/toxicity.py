@@ -15,8 +15,9 @@ from tidemark.llm.text import Words, mix, text_bytes, words
 
 # Labelled texts of each class the network is fitted on, in expectation: the bound of the fit.
 FIT_TOXIC, FIT_CLEAN = 800, 1600
-# Words per window, and words from one window's start to the next one's.
-WINDOW, STEP = 40, 30
+# Words per window, and words from one window's start to the next one's: every stretch of half
+# a window lies in some window whole.
+WINDOW, STEP = 40, 20
 # Sizes: word and character vectors, states per direction, attention.
 WORD_DIM, CHAR_DIM, STATES, ATTENTION = 8, 8, 10, 8
 # Beginnings and ends of a word, in bytes, that stand for its characters.
@@ -27,17 +28,25 @@ ROUNDS, BATCH, RATE = 4, 128, 0.01
 THRESHOLD = 0.7
 SEED = 2
 
-# Only letters (and all bytes of longer characters) make words here.
+# Letters (and all bytes of longer characters), digits and the signs that stand for letters in
+# disguised words make words here.
 _LETTERS = np.full(256, 0x20, dtype=np.uint8)
-for _range in (range(ord("A"), ord("Z") + 1), range(ord("a"), ord("z") + 1), range(128, 256)):
+for _range in (range(ord("A"), ord("Z") + 1), range(ord("a"), ord("z") + 1), range(ord("0"), ord("9") + 1), b"@$*", range(128, 256)):
     _LETTERS[list(_range)] = list(_range)
 
 Params = dict[str, np.ndarray]
 
 
 def _words_of(column: pa.Array) -> tuple[Words, np.ndarray]:
-    data, offsets = text_bytes(column)
-    return words(_LETTERS[data], offsets), _LETTERS[data]
+    """The words that have a letter."""
+    raw, offsets = text_bytes(column)
+    data = _LETTERS[raw]
+    found = words(data, offsets)
+    letters = np.zeros(len(data) + 1, dtype=np.int64)
+    np.cumsum(data >= 65, out=letters[1:])
+    spelled = letters[found.ends] > letters[found.starts]
+    first = np.append(0, np.cumsum(spelled))[found.first]
+    return Words(found.hashes[spelled], found.starts[spelled], found.ends[spelled], first), data
 
 
 def _parts(found: Words, data: np.ndarray, at: np.ndarray) -> np.ndarray:
