@@ -236,7 +236,7 @@ def without_common_lines(
     gone = (
         aligned.select("id", "print", F.explode("at").alias("at"))
         .groupBy("id", "print")
-        .agg(F.collect_set("at").alias("__gone"))
+        .agg(F.sort_array(F.collect_set("at")).alias("__gone"))
         .select(F.col("id").alias("__id"), F.col("print").alias("__print"), "__gone")
     )
     left = kept.join(
@@ -244,11 +244,18 @@ def without_common_lines(
         (F.col(doc_id).cast("long") == F.col("__id")) & (F.xxhash64(body) == F.col("__print")),
         "left",
     )
-    rest = F.filter(raw, lambda x, i: ~F.array_contains("__gone", i))
-    return left.withColumns(
+    # What stays is the stretches between the lines that go, each copied once.
+    borders = F.concat(F.array(F.lit(-1)), F.col("__gone"), F.array(F.size("__lines")))
+    cut = left.withColumn("__lines", raw).withColumn("__borders", F.when(F.col("__gone").isNotNull(), borders))
+    stretches = F.transform(
+        F.sequence(F.lit(1), F.size("__borders") - 1),
+        lambda k: F.slice("__lines", F.get("__borders", k - 1) + 2, F.get("__borders", k) - F.get("__borders", k - 1) - 1),
+    )
+    rest = F.array_join(F.flatten(stretches), "\n")
+    return cut.withColumns(
         {
-            "n_lines": F.when(body.isNull(), 0).otherwise(F.size(raw)),
+            "n_lines": F.when(body.isNull(), 0).otherwise(F.size("__lines")),
             "n_removed": F.coalesce(F.size("__gone"), F.lit(0)),
-            text: F.when(F.col("__gone").isNull(), body).otherwise(F.array_join(rest, "\n")),
+            text: F.when(F.col("__gone").isNull(), body).otherwise(rest),
         }
-    ).drop("__id", "__print", "__gone")
+    ).drop("__id", "__print", "__gone", "__lines", "__borders")
