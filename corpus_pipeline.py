@@ -12,7 +12,7 @@ from tidemark.llm.decontamination import contaminated
 from tidemark.llm.mixing import mixed
 from tidemark.llm.ngram_join import Threshold, ngram_components
 from tidemark.llm.sharding import shard_by_bytes
-from tidemark.session import staged
+from tidemark.session import free, staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -20,10 +20,14 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 MOST_BITS_PER_BYTE = 8.0
 
 
+def _ready(spark: SparkSession, sf_dir: str) -> None:
+    ready(spark, f"{sf_dir}/documents.parquet")
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language, which replaces ``lang``. Rejected: texts that are null,
     have no letter, or cost more than `MOST_BITS_PER_BYTE` in every language."""
-    ready(spark)
+    _ready(spark, sf_dir)
     docs = docs.select(*COLUMNS)
     model = language.fit(docs)
     told = language.identify(docs, model)
@@ -34,7 +38,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, of the smallest id, of each group that links of 0.8 or more on runs of
     five words tie together. Rows with a null id stay; rows of one id stay or go together."""
-    ready(spark)
+    _ready(spark, sf_dir)
     found = ngram_components(docs, Threshold(4, 5), size=5, rows=4)
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(staged(gone, "pipeline-copies"), "doc_id", "left_anti").select(*COLUMNS)
@@ -42,7 +46,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item within its edit budget."""
-    ready(spark)
+    _ready(spark, sf_dir)
     found = contaminated(docs, table(spark, sf_dir, "benchmark"))
     gone = staged(found.select("doc_id").distinct(), "pipeline-leaks")
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
@@ -50,13 +54,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled so that their words meet the source, language and topic targets."""
-    ready(spark)
+    _ready(spark, sf_dir)
     return mixed(docs, MARGINS, KEEP, TOPICS).filter("__kept").select(*COLUMNS)
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
-    ready(spark)
+    _ready(spark, sf_dir)
     return shard_by_bytes(docs, SHARDS)
 
 
@@ -73,8 +77,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ready(spark)
+    _ready(spark, sf_dir)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        free(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -38,14 +38,20 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
     ``shuffle_bytes``, the size of the largest input to be shuffled, raises the
     number of shuffle partitions to what such an input needs. AQE can merge
     partitions but, joins aside, not split them, so the default of 200 would spill
-    heavily on terabytes.
+    heavily on terabytes. The session's own number is remembered: a smaller input
+    afterwards goes back to it, or to what that input needs.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     if shuffle_bytes:
-        now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        needed = -(-shuffle_bytes // PARTITION_BYTES)
-        spark.conf.set("spark.sql.shuffle.partitions", str(max(now, needed)))
+        name, mark = "spark.sql.shuffle.partitions", "tidemark.shuffle.partitions"
+        now = spark.conf.get(name)
+        own, ours = spark.conf.get(mark, f"{now} {now}").split()
+        # A number that was set since, by whoever, is the session's own from now on.
+        own = own if now == ours else now
+        needed = str(max(int(own), -(-shuffle_bytes // PARTITION_BYTES)))
+        spark.conf.set(name, needed)
+        spark.conf.set(mark, f"{own} {needed}")
     return spark
 
 
@@ -140,6 +146,14 @@ def remove(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(folder) and fs.delete(folder, True))
 
 
+def free(*frames: DataFrame) -> None:
+    """Delete what `staged` wrote for some frames, once nothing reads them any more."""
+    for df in frames:
+        path = getattr(df, "_staged_at", None)
+        if path:
+            remove(df.sparkSession, path)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -148,7 +162,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
 
 
 @contextmanager
