@@ -45,13 +45,18 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def query(run: Query) -> Query:
-    @functools.wraps(run)
-    def with_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run(ready(spark), sf_dir)
+def query(*tables: str) -> Callable[[Query], Query]:
+    """Register a query, which runs with shuffle partitions for the tables it reads."""
 
-    _QUERIES[run.__name__] = with_settings
-    return with_settings
+    def register(run: Query) -> Query:
+        @functools.wraps(run)
+        def with_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return run(ready(spark, *[f"{sf_dir}/{t}.parquet" for t in tables]), sf_dir)
+
+        _QUERIES[run.__name__] = with_settings
+        return with_settings
+
+    return register
 
 
 def all_queries() -> dict[str, Query]:
@@ -62,13 +67,13 @@ def all_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-@query
+@query("documents")
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return without_common_lines(docs)
 
 
-@query
+@query("documents", "labels")
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -79,18 +84,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"), "windows")
 
 
-@query
+@query("pages")
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_text.extract(pages, html_text.fit(pages))
 
 
-@query
+@query("documents")
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"), Threshold(90, 100), size=3)
 
 
-@query
+@query("documents")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The totals after five deliveries: two tokenizer versions of all documents, the
     deletion of copies, revised counts without words that hold an address, and batches 2
@@ -144,12 +149,12 @@ FROM counts GROUP BY ALL
 """
 
 
-@query
+@query("embeddings")
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_links(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
-@query
+@query("documents")
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 4) == 2
@@ -158,18 +163,18 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-@query
+@query("documents")
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
-@query
+@query("documents", "benchmark")
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return contaminated(documents, benchmark)
 
 
-@query
+@query("documents")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     told = mixed(docs, MARGINS, KEEP, TOPICS, keep_columns=["doc_id", "source", "lang"])
@@ -185,7 +190,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("documents")
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = byte_bpe.Vocabulary.load(RANKS, PATTERN)
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), vocabulary, keep=["doc_id"])
@@ -198,7 +203,7 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("documents")
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", planted_repeats("doc_id", "text").alias("text"))
     told = periodic_runs(docs, keep=["doc_id"])
@@ -218,7 +223,7 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("embeddings")
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import staged, tune
+from tidemark.session import folder_bytes, free, staged, tune
 
 # Rows of one Arrow batch handed to Python: with texts of tens of kilobytes a batch
 # stays a few dozen megabytes.
@@ -24,9 +24,14 @@ BATCH_BYTES = 32 << 20
 SLICE_BYTES = 8 << 20
 
 
-def ready(spark: SparkSession) -> SparkSession:
-    """The session with the settings the operators rely on."""
-    tune(spark)
+# A shuffle of these operators holds at most so many times the bytes of the stored tables.
+SHUFFLE_SHARE = 4
+
+
+def ready(spark: SparkSession, *tables: str) -> SparkSession:
+    """The session with the settings the operators rely on, and shuffle partitions for the
+    tables in the folders named (none given: those of the session)."""
+    tune(spark, SHUFFLE_SHARE * sum(folder_bytes(spark, t) for t in tables) or None)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.sparkContext.addPyFile(_package(spark.sparkContext.applicationId))
@@ -134,6 +139,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     now = kept(now.distinct(), f"{label}-edges")
     while not done(now):
         wide = kept(star(now, large=True), f"{label}-wide")
+        free(now)
         now = kept(star(wide, large=False), f"{label}-edges")
+        free(wide)
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return pairs("a", "b", now).toDF("node", "component").unionByName(roots)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import warnings
 from collections.abc import Mapping, Sequence
 
@@ -9,10 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import share, values
-from tidemark.session import staged
+from tidemark.session import free, staged
 
-# A sweep adjusts to every marginal once. After so many that bring the weights no nearer to
-# rest, the targets contradict each other or the bound on the weights, and the fitting ends.
+# A sweep adjusts to every marginal once. Where so many do not halve what the weights still move
+# by, the targets contradict each other or the bound on the weights, and the fitting ends.
 PATIENCE = 10
 # Largest relative change of a cell's weight in a sweep at which the fitting ends: far below
 # what the sampling itself moves a marginal.
@@ -70,8 +71,8 @@ def rake(cells: DataFrame, margins: Mapping[str, Margin], most: float | None = N
     stays there, and the others of its marginals make up for it as far as they can. Each
     sweep scales the cells of every value of every column to the value's goal, and is
     written to the shared folder; the fitting ends when no weight moves by more than
-    `TOLERANCE`. Where the targets can't all be met the weights come to no rest: after
-    `PATIENCE` sweeps without progress the last ones are returned, with a warning. All of it is
+    `TOLERANCE`. Where the targets can't all be met the weights come to no rest: once
+    `PATIENCE` sweeps make little progress the last ones are returned, with a warning. All of it is
     aggregation and joins of the table of cells, which has a row per combination seen in
     the corpus; the driver gets two numbers per sweep.
     """
@@ -80,8 +81,8 @@ def rake(cells: DataFrame, margins: Mapping[str, Margin], most: float | None = N
     if not total:
         return now
     goals = {column: _targets(cells, column, margin) for column, margin in margins.items()}
-    least, idle = float("inf"), 0
-    while True:
+    before = float("inf")
+    for sweep in itertools.count(1):
         step = now.withColumn("before", F.col("weight"))
         for k, (column, goal) in enumerate(goals.items()):
             held = step.groupBy(column).agg(F.sum(F.col("weight") * F.col("tokens")).alias("held"))
@@ -95,16 +96,18 @@ def rake(cells: DataFrame, margins: Mapping[str, Margin], most: float | None = N
             scaled = F.col("weight") * F.coalesce(f"factor{k}", F.lit(1.0))
             capped = scaled if most is None else F.least(scaled, F.lit(float(most)))
             step = step.withColumn("weight", capped)
-        now = staged(step.select(*cells.columns, "weight", "before"), "mix-sweep")
+        last, now = now, staged(step.select(*cells.columns, "weight", "before"), "mix-sweep")
+        free(last)
         moved = F.max(F.abs(F.col("weight") / F.col("before") - 1))
         largest = now.filter("tokens > 0 AND before > 0").agg(moved).first()[0] or 0.0
-        now = now.drop("before")
         if largest <= TOLERANCE:
-            return now
-        least, idle = (largest, 0) if largest < 0.99 * least else (least, idle + 1)
-        if idle >= PATIENCE:
-            warnings.warn(f"the targets cannot all be met: weights still move by {largest:.3g} a sweep", stacklevel=2)
-            return now
+            return now.drop("before")
+        if sweep % PATIENCE == 0:
+            if largest > before / 2:
+                said = f"the targets cannot all be met: weights still move by {largest:.3g} a sweep"
+                warnings.warn(said, stacklevel=2)
+                return now.drop("before")
+            before = largest
 
 
 def mixed(
