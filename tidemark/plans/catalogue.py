@@ -430,9 +430,9 @@ def schema_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
         try:
             standardise(bronze.drop(column), EVENTS)
         except ValueError as error:
-            said.append((column, str(error)))
-    messages = spark.createDataFrame(said, "missing string, error string")
-    return messages.join(bronze.agg(F.count("*").alias("bronze_rows")), F.lit(True))
+            said.append(F.struct(F.lit(column).alias("missing"), F.lit(str(error)).alias("error")))
+    rows = bronze.agg(F.count("*").alias("bronze_rows"))
+    return rows.select("bronze_rows", F.inline(F.array(*said))).select("missing", "error", "bronze_rows")
 
 
 @query
