@@ -47,7 +47,7 @@ from tidemark.quality.suites import (
     constraint_suites,
 )
 from tidemark.session import exists, folder_bytes, scratch_path, staged, tune
-from tidemark.sinks import append_counted, publish_slices, publish_table, replace_slices
+from tidemark.sinks import append_counted, merge_landed, publish_slices, publish_table, replace_slices
 from tidemark.sources import parse_events, read_events, read_table, register_gold_views
 from tidemark.sources import testdata as td
 from tidemark.spec import (
@@ -502,6 +502,31 @@ def sink_replace_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, funnel.schema).select(funnel.columns)
 
 
+@query
+def sink_merged_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed in eight batches, one of them again after it was merged: what readers see
+    before merging, after it, after landing again, and after merging that."""
+    events, path = td.bronze_events(spark, sf_dir), scratch_path(spark, "landed")
+    batch, seen = F.pmod(F.xxhash64("event_id"), F.lit(8)), []
+
+    def look(stage: str) -> None:
+        rows = read_table(spark, path, BRONZE_EVENT_SCHEMA).groupBy(SLICE).agg(
+            F.count("*").alias("events"), F.countDistinct("event_id").alias("ids")
+        )
+        seen.append(staged(rows.withColumn("stage", F.lit(stage)), "seen"))
+
+    for b in range(8):
+        land(events.filter(batch == b), path, f"part-{b}")
+    look("landed")
+    merge_landed(spark, path)
+    look("merged")
+    land(events.filter(batch == 3), path, "part-3")
+    look("again")
+    merge_landed(spark, path, least_files=1)
+    look("merged again")
+    return functools.reduce(DataFrame.unionByName, seen).select("stage", SLICE, "events", "ids")
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages landed by a bounded stream; a second run on its checkpoint adds nothing."""

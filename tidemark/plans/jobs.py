@@ -33,9 +33,12 @@ from tidemark.sinks import (
     CurrentTable,
     SumTable,
     append_counted,
+    is_managed,
     land_batch,
+    merge_landed,
     publish_slices,
     publish_table,
+    read_landed_as_is,
     replace_slice,
 )
 from tidemark.sinks.current import SIGN
@@ -62,6 +65,7 @@ from tidemark.streaming import (
     refresh_landed,
     refresh_silver_events,
 )
+from tidemark.streaming.ingest import landed_log
 
 
 class NoNewData(RuntimeError):
@@ -210,6 +214,9 @@ def _bronze_slices(
     spark: SparkSession, path: str, spec: TableSpec, days: Sequence[str]
 ) -> DataFrame:
     """Slices of a Bronze table in the types its source had."""
+    if is_managed(spark, path):
+        merged = read_landed_as_is(spark, path, days)
+        return spark.createDataFrame([], spec.schema) if merged is None else merged.drop(BATCH)
     folders = [f"{path}/{SLICE}={day}" for day in days]
     there = [folder for folder in folders if exists(spark, folder)]
     if not there:
@@ -219,6 +226,21 @@ def _bronze_slices(
     return bronze.withColumn(SLICE, F.col(SLICE).cast("string"))
 
 
+def merge_bronze(
+    spark: SparkSession, lake: Lake, days: Sequence[str] | None = None, **limits: int
+) -> dict[str, dict[str, int]]:
+    """Merge the batch folders of all Bronze tables, of some days or all, and of the log of
+    landed events; see `merge_landed`. For a schedule of its own, beside landing and refreshes."""
+    merged = {}
+    for spec in ORDER_TABLES.values():
+        if exists(spark, lake.bronze(spec.name)):
+            merged[spec.name] = merge_landed(spark, lake.bronze(spec.name), SLICE, days, **limits)
+    if exists(spark, lake.bronze_events):
+        merged["events"] = merge_landed(spark, lake.bronze_events, SLICE, days, **limits)
+        merged["events_log"] = merge_landed(spark, landed_log(lake.bronze_events), None, **limits)
+    return merged
+
+
 def current_table(spark: SparkSession, lake: Lake, spec: TableSpec) -> CurrentTable:
     return CurrentTable.of(spark, lake.current(spec.name), spec)
 

@@ -630,6 +630,10 @@ _SQL = {
           count(*) FILTER (is_late_event) AS late_event_count
         FROM events_sent""",
     "sink_replace_slice": "SELECT * FROM funnel",
+    "sink_merged_landing": """
+        SELECT stage, partition_date, events, ids FROM (
+          SELECT partition_date, count(*) AS events, count(DISTINCT event_id) AS ids FROM events_sent GROUP BY 1
+        ), (SELECT unnest(['landed', 'merged', 'again', 'merged again']) AS stage)""",
     "stream_ingest": f"SELECT {LANDED} FROM events_sent",
     "stream_dedup": """
         SELECT DISTINCT event_id, session_id, user_id, event_timestamp, product_id, partition_date

@@ -146,6 +146,18 @@ def remove(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(folder) and fs.delete(folder, True))
 
 
+def remove_file(spark: SparkSession, path: str) -> bool:
+    """Delete one file."""
+    fs, place = _folder(spark, path)
+    return bool(fs.delete(place, False))
+
+
+def remove_if_empty(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that holds nothing."""
+    fs, folder = _folder(spark, path)
+    return bool(fs.exists(folder) and not fs.listStatus(folder) and fs.delete(folder, False))
+
+
 def free(*frames: DataFrame) -> None:
     """Delete what `staged` wrote for some frames, once nothing reads them any more."""
     for df in frames:

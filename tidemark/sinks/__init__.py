@@ -1,4 +1,5 @@
 from tidemark.sinks.current import CurrentTable
+from tidemark.sinks.landed import merge_landed, read_landed, read_landed_as_is
 from tidemark.sinks.manifest import (
     CommitConflict,
     RunTable,
@@ -28,8 +29,11 @@ __all__ = [
     "append_observed",
     "is_managed",
     "land_batch",
+    "merge_landed",
     "publish_slices",
     "publish_table",
+    "read_landed",
+    "read_landed_as_is",
     "read_published",
     "replace_slice",
     "replace_slices",

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions import utc_date
 from tidemark.session import exists
-from tidemark.sinks.manifest import is_managed, read_published
+from tidemark.sinks.landed import is_merged, read_landed
+from tidemark.sinks.manifest import is_managed, manifest_of, read_published
 from tidemark.spec import SLICE
 
 
@@ -20,13 +21,21 @@ def _is_missing(error: AnalysisException) -> bool:
     return (error.getCondition() or "").startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
 
 
+def _read_managed(
+    spark: SparkSession, path: str, schema: T.StructType | None, values: Sequence[str] | None = None
+) -> DataFrame:
+    if schema is not None and is_merged(manifest_of(spark, path)):
+        return read_landed(spark, path, schema, values)
+    return read_published(spark, path, schema, values)
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, format: str = "parquet"
 ) -> DataFrame:
     """A stored table, as its manifest has it if there is one. With a schema, a path that does not
     exist yet is an empty table."""
     if is_managed(spark, path):
-        return read_published(spark, path, schema)
+        return _read_managed(spark, path, schema)
     reader = spark.read.format(format)
     if schema is None:
         return reader.load(path)
@@ -71,7 +80,7 @@ def read_slices(
 ) -> DataFrame:
     """Some slices of a partitioned table; only their folders are listed and read."""
     if is_managed(spark, path):
-        return read_published(spark, path, schema, values)
+        return _read_managed(spark, path, schema, values)
     folders = [f"{path}/{column}={value}" for value in dict.fromkeys(values)]
     there = [folder for folder in folders if exists(spark, folder)]
     if not there:
