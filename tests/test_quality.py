@@ -1,8 +1,12 @@
 import json
 
+import duckdb
 import pytest
+from compare import differences
 from conftest import plan_of
 
+from tidemark.plans.catalogue import all_queries
+from tidemark.plans.oracle import all_sql
 from tidemark.quality import (
     ALERT_SCHEMA,
     AllowedValues,
@@ -187,3 +191,30 @@ def test_all_foreign_keys_of_a_child_in_one_pass(spark, frame, tmp_path):
     report = run_suite(lines, "lines", [keys[0], RowCount(5), *keys[1:]])
     assert metrics(report) == [(False, 2), (True, 5), (False, 1), (False, 3)]
     assert metrics(run_suite(lines.limit(0), "lines", keys)) == [(True, 0)] * 3
+
+
+def test_constraints_count_every_row_of_products(spark, tmp_path):
+    """One of 128 products comes twice: a rate of 0.0078125, halfway between six digits."""
+    con = duckdb.connect()
+    rows = {
+        "region": "SELECT 0::INTEGER AS r_regionkey, 'ASIA' AS r_name",
+        "nation": "SELECT 0::INTEGER AS n_nationkey, 'INDIA' AS n_name, 0::INTEGER AS n_regionkey",
+        "customer": "SELECT k::BIGINT AS c_custkey, concat('Customer#', k) AS c_name, 0::INTEGER AS c_nationkey,"
+        " 1.0::DOUBLE AS c_acctbal, 'X' AS c_mktsegment FROM range(5) t(k)",
+        "part": "SELECT (k % 127)::BIGINT AS p_partkey, 'ring' AS p_name, 'B' AS p_brand, 'LARGE' AS p_type,"
+        " 1::INTEGER AS p_size, 9.5::DOUBLE AS p_retailprice FROM range(128) t(k)",
+        "orders": "SELECT k::BIGINT AS o_orderkey, (k % 6)::BIGINT AS o_custkey, 'O' AS o_orderstatus,"
+        " 10.0::DOUBLE AS o_totalprice, TIMESTAMP '1998-01-01' AS o_orderdate, '5-LOW' AS o_orderpriority"
+        " FROM range(12) t(k)",
+        "lineitem": "SELECT k::BIGINT AS l_orderkey, k::BIGINT AS l_partkey, 0::BIGINT AS l_suppkey,"
+        " 1::INTEGER AS l_linenumber, 2.0::DOUBLE AS l_quantity, 5.0::DOUBLE AS l_extendedprice,"
+        " 0.0::DOUBLE AS l_discount, 0.0::DOUBLE AS l_tax, 'N' AS l_returnflag, 'O' AS l_linestatus,"
+        " TIMESTAMP '1998-01-02' AS l_shipdate FROM range(14) t(k)",
+    }
+    for name, select in rows.items():
+        con.execute(f"CREATE TABLE {name} AS {select}")
+        con.execute(f"COPY {name} TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+    found = all_queries()["dq_constraints"](spark, str(tmp_path))
+    assert differences(found, con, all_sql()["dq_constraints"]) == []
+    told = {r.message for r in found.filter("table_name = 'products' AND check_name = 'check_duplicate_rate'").collect()}
+    assert "duplicate rate on product_id is 0.007812, at most 0.000000 allowed" in told

@@ -58,13 +58,15 @@ def _rate_verdict(
 ) -> Verdict:
     empty = rows == 0
     rate = part / F.nullif(rows, F.lit(0))
+    # Rounds the double as it is, as printf of C does; %f of Java rounds its shortest spelling.
+    shown = F.call_function("format_number", rate, F.lit("0.000000"))
     return Verdict(
         passed=rate <= F.lit(float(max_rate)),
         metric=F.round(rate, 6),
         threshold=max_rate,
         note=F.when(empty, F.lit("empty_dataframe")),
         message=F.when(empty, F.lit(f"{table} is empty, no {what}")).otherwise(
-            F.format_string(f"{what} is %.6f, at most {max_rate:.6f} allowed", rate)
+            F.concat(F.lit(f"{what} is "), shown, F.lit(f", at most {max_rate:.6f} allowed"))
         ),
     )
 
