@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.plans import catalogue
 from tidemark.plans.silver import to_silver_events
 from tidemark.sources import parse_events, read_events, read_table
 from tidemark.sources import testdata as td
@@ -184,3 +185,21 @@ def test_keyed_landing_loses_nothing_and_keeps_no_copy(spark, shuffled, parsed,
     landing.take(again.withColumn("bronze_ingested_at", F.current_timestamp()).select(kept.columns), "other", 0)
     after = [read_table(spark, p, BRONZE_EVENT_SCHEMA).count() for p in (landing.path, landing.late_path)]
     assert sum(after) == both.count()
+
+
+def test_a_topic_has_as_many_files_as_its_size_asks_for(spark, tmp_path, monkeypatch):
+    rows = spark.range(4000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 10:00:00' AS ts", "id % 90 AS user_id", "'view' AS event_type",
+        "1.0D AS value", "'{\"k\": 7}' AS props",
+    )
+    rows.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    stored = catalogue.folder_bytes(spark, str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(catalogue, "TOPIC_FILE_BYTES", stored // 11)
+    sizes = []
+    messages = catalogue._message_files(spark, str(tmp_path)).select(F.input_file_name().alias("file"))
+    stream = messages.writeStream.foreachBatch(
+        lambda batch, number: sizes.append((batch.distinct().count(), batch.count()))
+    )
+    stream.option("checkpointLocation", str(tmp_path / "offsets")).trigger(availableNow=True).start().awaitTermination()
+    assert len(sizes) == 5 and {files for files, _ in sizes} == {3}
+    assert sum(n for _, n in sizes) == 4000 + len(range(0, 4000, 33))

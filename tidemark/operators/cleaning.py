@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.spec import TableSpec
@@ -34,6 +34,15 @@ def standardise(df: DataFrame, spec: TableSpec) -> DataFrame:
     return typed if spec.check_raw else drop_malformed(typed, spec.required)
 
 
+def in_time(
+    event_ts: str = "event_timestamp",
+    ingest_ts: str = "ingestion_timestamp",
+    tolerance: str = LATE_TOLERANCE,
+) -> Column:
+    """Whether a row arrived within ``tolerance`` of happening, the limit included."""
+    return F.col(event_ts) + F.expr(f"INTERVAL {tolerance}") >= F.col(ingest_ts)
+
+
 def drop_late(
     df: DataFrame,
     event_ts: str = "event_timestamp",
@@ -41,4 +50,4 @@ def drop_late(
     tolerance: str = LATE_TOLERANCE,
 ) -> DataFrame:
     """Keep rows that arrived within ``tolerance`` of happening, the limit included."""
-    return df.filter(F.col(event_ts) + F.expr(f"INTERVAL {tolerance}") >= F.col(ingest_ts))
+    return df.filter(in_time(event_ts, ingest_ts, tolerance))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import drop_late, standardise, with_session_metrics
+from tidemark.operators import in_time, standardise, with_session_metrics
 from tidemark.plans.silver import dedup_slices
 from tidemark.session import staging
 from tidemark.sinks.manifest import RunTable, manifest_of
@@ -73,6 +73,11 @@ class SessionStore(RunTable):
             days = sorted(row[0] for row in new.select(SLICE).distinct().collect())
             if not days:
                 return []
+            position = manifest_of(self.spark, self.path).version + 1
+            if not self.runs():
+                # Nothing stored: the new events are all there is of their sessions.
+                self.add(self._rows(new), position)
+                return days
             held = self._days(days)
             own = new.select(*_SESSION)
             copies = held.join(new.select(*_EVENT), list(_EVENT), "left_semi").select(*_SESSION)
@@ -80,15 +85,20 @@ class SessionStore(RunTable):
                 old = held.join(touched, list(_SESSION), "left_semi").select(EVENTS.columns)
                 events = dedup_slices(old.unionByName(new), EVENTS)
                 with staging(events, "touched-events") as events:
-                    self.add(self._rows(events, touched), manifest_of(self.spark, self.path).version + 1)
+                    emptied = touched.join(events, list(_SESSION), "left_anti")
+                    self.add(self._rows(events, emptied), position)
         return days
 
     @staticmethod
-    def _rows(events: DataFrame, touched: DataFrame) -> DataFrame:
-        timely = with_session_metrics(drop_late(events), list(_SESSION)).withColumn(TIMELY, F.lit(True))
-        late = events.join(timely.select(*_EVENT), list(_EVENT), "left_anti").withColumn(TIMELY, F.lit(False))
-        emptied = touched.join(events, list(_SESSION), "left_anti").withColumn(TIMELY, F.lit(False))
-        rows = timely.unionByName(late, allowMissingColumns=True).unionByName(emptied, allowMissingColumns=True)
+    def _rows(events: DataFrame, emptied: DataFrame | None = None) -> DataFrame:
+        """Rows of a run: deduplicated events, marked, and the sessions that have lost all theirs."""
+        marked = events.withColumn(TIMELY, F.coalesce(in_time(), F.lit(False)))
+        rows = with_session_metrics(marked.filter(TIMELY), list(_SESSION))
+        others = [marked.filter(~F.col(TIMELY))]
+        if emptied is not None:
+            others.append(emptied.withColumn(TIMELY, F.lit(False)))
+        for other in others:
+            rows = rows.unionByName(other, allowMissingColumns=True)
         return rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in _STORED])
 
 
