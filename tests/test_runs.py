@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import gold, jobs
+from tidemark.plans import catalogue, gold, jobs
 from tidemark.plans.ledger import Ledger
 from tidemark.sinks import CommitConflict, CurrentTable, SumTable, publish_slices, publish_table, read_published
 from tidemark.sinks import manifest as mf
@@ -243,3 +243,22 @@ def test_customers_without_changes_are_not_rewritten(spark, tmp_path):
     table = CurrentTable.of(spark, str(tmp_path / "t"), CUSTOMERS)
     assert table.read().isEmpty() and not table.apply(spark.createDataFrame([], CUSTOMERS.schema))
     assert table.version == 0 and table.log().isEmpty()
+
+
+def test_a_table_that_nothing_follows_keeps_no_log(spark, tmp_path):
+    tables = [CurrentTable.of(spark, str(tmp_path / name), ORDERS, followed=name == "f") for name in "fu"]
+    for table in tables:
+        assert not table.apply(rows(spark, spark.range(0), "2021-01-01", "1"))
+        assert table.apply(rows(spark, spark.range(50), "2021-01-01", "1"))
+        assert table.apply(rows(spark, spark.range(40, 60), "2021-02-01", "2"))
+        assert not table.apply(rows(spark, spark.range(40, 60), "2020-02-01", "3"))
+    followed, plain = tables
+    assert content(plain.read()) == content(followed.read()) and plain.version == followed.version
+    assert followed.log().count() == 50 + 20 + 10 and plain.log().isEmpty()
+    assert not (tmp_path / "u" / "_data" / "log").exists()
+
+
+def test_every_query_fills_a_lake_of_its_own(spark, tmp_path):
+    filled = []
+    lakes = [catalogue._lake(spark, str(tmp_path), lambda s, d, lake: filled.append(lake.root)) for _ in range(2)]
+    assert [lake.root for lake in lakes] == filled and len(set(filled)) == 2

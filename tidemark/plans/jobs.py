@@ -242,7 +242,8 @@ def merge_bronze(
 
 
 def current_table(spark: SparkSession, lake: Lake, spec: TableSpec) -> CurrentTable:
-    return CurrentTable.of(spark, lake.current(spec.name), spec)
+    # Only the totals per day follow a table's log, that of the orders.
+    return CurrentTable.of(spark, lake.current(spec.name), spec, followed=spec.name == ORDERS.name)
 
 
 def read_current(spark: SparkSession, lake: Lake, spec: TableSpec) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import keep_one_by_key
 from tidemark.session import remove, staging
-from tidemark.sinks.manifest import DATA, RunTable, commit, manifest_of
+from tidemark.sinks.manifest import DATA, Manifest, RunTable, commit, manifest_of
 from tidemark.spec import TableSpec
 
 SIGN = "sign"
@@ -21,18 +21,20 @@ SIGN = "sign"
 class CurrentTable(RunTable):
     """Latest rows by key, as runs (see `RunTable`) whose newer rows hide older ones.
 
-    Each commit also leaves a log: the row it put in place of every changed key (``sign`` 1) and
-    the one it replaced (-1). Totals that follow the table apply the log, signed, and need not
-    read the table.
+    Unless the table is said not to be ``followed``, each commit also leaves a log: the row it put
+    in place of every changed key (``sign`` 1) and the one it replaced (-1). Totals that follow
+    the table apply the log, signed, and need not read the table. A log that nothing follows
+    would be kept for ever.
     """
 
     keys: Sequence[str] = ()
     schema: T.StructType = field(default_factory=T.StructType)
     spec: TableSpec | None = None
+    followed: bool = True
 
     @classmethod
-    def of(cls, spark: SparkSession, path: str, spec: TableSpec) -> CurrentTable:
-        return cls(spark, path, spec.key, spec.schema, spec)
+    def of(cls, spark: SparkSession, path: str, spec: TableSpec, followed: bool = True) -> CurrentTable:
+        return cls(spark, path, spec.key, spec.schema, spec, followed)
 
     def merged(self, runs: Sequence[DataFrame], whole: bool) -> DataFrame:
         if len(runs) == 1:
@@ -53,23 +55,42 @@ class CurrentTable(RunTable):
         the keys and versions stored, and writes as much as changes. Again is as once.
         """
         before = manifest_of(self.spark, self.path)
-        version = before.version + 1
+        latest = keep_one_by_key(changes.select(self.schema.names), self.keys, self.spec.ordering())
+        if not before.entries.get("runs"):
+            # Nothing stored: every change wins.
+            return self._put(before, latest.withColumn(SIGN, F.lit(1)))
+        with staging(latest, "changes") as latest:
+            return self._put(before, self._signed(latest))
+
+    def _signed(self, latest: DataFrame) -> DataFrame:
+        """What the changes put in place and what they replace, signed."""
         columns = self.schema.names
-        with staging(keep_one_by_key(changes.select(columns), self.keys, self.spec.ordering()), "changes") as latest:
-            touched = latest.select(*self.keys)
-            stored = self.read().join(touched, list(self.keys), "left_semi").select(columns)
-            both = latest.withColumn("_new", F.lit(True)).unionByName(stored.withColumn("_new", F.lit(False)))
-            place = Window.partitionBy(*self.keys)
-            first = place.orderBy(*self.spec.ordering(), "_new")
-            log = (
-                both.withColumn("_nth", F.row_number().over(first))
-                .withColumn("_won", F.max(F.when(F.col("_nth") == 1, F.col("_new"))).over(place))
-                .filter("_won")
-                .select(*columns, F.when(F.col("_new"), 1).otherwise(-1).alias(SIGN))
-            )
-            seen = Observation()
-            folder = f"{self.path}/{DATA}/log/v={version}"
-            log.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(folder)
+        touched = latest.select(*self.keys)
+        stored = self.read().join(touched, list(self.keys), "left_semi").select(columns)
+        both = latest.withColumn("_new", F.lit(True)).unionByName(stored.withColumn("_new", F.lit(False)))
+        place = Window.partitionBy(*self.keys)
+        first = place.orderBy(*self.spec.ordering(), "_new")
+        return (
+            both.withColumn("_nth", F.row_number().over(first))
+            .withColumn("_won", F.max(F.when(F.col("_nth") == 1, F.col("_new"))).over(place))
+            .filter("_won")
+            .select(*columns, F.when(F.col("_new"), 1).otherwise(-1).alias(SIGN))
+        )
+
+    def _put(self, before: Manifest, signed: DataFrame) -> bool:
+        """Commit signed rows, with a log if the table is followed; tells if there were any."""
+        version = before.version + 1
+        if not self.followed:
+            folder = self._next_run(before)
+            rows = self._write(signed.filter(F.col(SIGN) == 1), folder)
+            if rows:
+                self._commit_run(before, folder, rows, version)
+            else:
+                remove(self.spark, f"{self.path}/{DATA}/{folder}")
+            return bool(rows)
+        seen = Observation()
+        folder = f"{self.path}/{DATA}/log/v={version}"
+        signed.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(folder)
         if not seen.get["rows"]:
             remove(self.spark, folder)
             return False

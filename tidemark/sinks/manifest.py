@@ -138,8 +138,10 @@ def read_published(
 FAN = 8
 # Rows of all newer runs, as a share of the oldest one's, from which on all are merged.
 REWRITE_SHARE = 0.25
-# What a file of a merged run should hold.
+# What a file of merged batches should hold.
 FILE_BYTES = 128 * 1024 * 1024
+# What a file of a merged run should hold; one task sorts and writes it.
+RUN_BYTES = 32 * 1024 * 1024
 
 
 @dataclass
@@ -149,7 +151,7 @@ class RunTable:
     A commit adds one small run, so it writes as much as it changes. Runs are merged by
     levels: `FAN` of a level become one of the next, and all become one when the newer ones hold
     a share of the oldest (`REWRITE_SHARE`); a row is rewritten a logarithmic number of times.
-    Merged runs are ranges of keys, in files of `FILE_BYTES`, sorted inside: filters on
+    Merged runs are ranges of keys, in files of `RUN_BYTES`, sorted inside: filters on
     keys skip files. ``position`` is what the writer has taken in so far, committed with it.
     """
 
@@ -187,8 +189,14 @@ class RunTable:
     def add(self, df: DataFrame, position: int, **entries: Any) -> Manifest:
         """Commit one more run, then merge what is due."""
         before = manifest_of(self.spark, self.path)
-        folder = f"run/v={before.version + 1}"
-        rows = self._write(df, folder)
+        folder = self._next_run(before)
+        return self._commit_run(before, folder, self._write(df, folder), position, **entries)
+
+    @staticmethod
+    def _next_run(before: Manifest) -> str:
+        return f"run/v={before.version + 1}"
+
+    def _commit_run(self, before: Manifest, folder: str, rows: int, position: int, **entries: Any) -> Manifest:
         runs = [*before.entries.get("runs", []), {"folder": folder, "rows": rows, "level": 0}]
         told = {**before.entries, **entries, "runs": runs, "position": position}
         now = commit(self.spark, self.path, before, told)
@@ -212,7 +220,7 @@ class RunTable:
         size = sum(folder_bytes(self.spark, f"{self.path}/{DATA}/{r['folder']}") for r in old)
         folder = f"run/v={now.version + 1}"
         rows = self._write(
-            self.merged([self._load(r) for r in old], first == 0), folder, max(1, -(-size // FILE_BYTES))
+            self.merged([self._load(r) for r in old], first == 0), folder, max(1, -(-size // RUN_BYTES))
         )
         level = 1 + max(r["level"] for r in old)
         told = {**now.entries, "runs": [*runs[:first], {"folder": folder, "rows": rows, "level": level}]}
